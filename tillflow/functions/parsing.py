@@ -8,9 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted date layouts, the characters a price may keep, and
+# The accepted date layouts and the shape of their text, the characters a price may keep, and
 # the label for a missing region or category.
-DATE_LAYOUTS = ["yyyy-MM-dd", "MM/dd/yyyy"]
+DATE_LAYOUTS = {
+    "yyyy-MM-dd": r"^[+-]?[0-9]{4,}-[0-9]{2}-[0-9]{2}$",
+    "MM/dd/yyyy": r"^[0-9]{2}/[0-9]{2}/[+-]?[0-9]{4,}$",
+}
 EPOCH_TEXT = "^[0-9]{10}$"
 NOT_PRICE_CHARS = "[^0-9.-]"
 FILE_DATE = r"(\d{4}-\d{2}-\d{2})"
@@ -25,12 +28,17 @@ def blank_to_null(raw: Column) -> Column:
 
 
 def order_date(raw: Column) -> Column:
-    """ISO, then US month-first, then ten-digit epoch seconds read as UTC."""
+    """ISO, then US month-first, then ten-digit epoch seconds read as UTC.
+
+    Text is only handed to a parser whose layout it has: a failed parse costs an
+    exception, many times the price of looking at the text first.
+    """
     text = F.trim(raw)
+    dated = [F.when(text.rlike(shape), F.try_to_date(text, layout)) for layout, shape in DATE_LAYOUTS.items()]
     # Whole days since 1970 give the UTC date under any session time zone.
     days = F.floor(text.try_cast("bigint") / SECONDS_PER_DAY).try_cast("int")
     epoch = F.when(text.rlike(EPOCH_TEXT), F.date_add(F.lit("1970-01-01").cast("date"), days))
-    return F.coalesce(*[F.try_to_date(text, layout) for layout in DATE_LAYOUTS], epoch)
+    return F.coalesce(*dated, epoch)
 
 
 def quantity(raw: Column) -> Column:
@@ -57,7 +65,7 @@ def category(raw: Column) -> Column:
 def file_date(file_name: Column) -> Column:
     """The drop date in a file name, null when the name carries none."""
     found = F.nullif(F.regexp_extract(file_name, FILE_DATE, 1), F.lit(""))
-    return F.try_to_date(found, DATE_LAYOUTS[0])
+    return F.try_to_date(found, "yyyy-MM-dd")
 
 
 def record_hash(*fields: Column) -> Column:

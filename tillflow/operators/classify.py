@@ -10,25 +10,24 @@ from tillflow.functions import parsing
 
 
 def reject_reason() -> Column:
-    """The first failing check of a raw row, null for a good one.
+    """The first failing check of a typed row, null for a good one.
 
     The order is part of the contract: the reason named is always the most
     fundamental problem of the row.
     """
-    price = parsing.unit_price(F.col("unit_price"))
     return (
-        F.when(parsing.blank_to_null(F.col("order_id")).isNull(), "missing_order_id")
-        .when(parsing.order_date(F.col("order_date")).isNull(), "unparseable_order_date")
-        .when(parsing.quantity(F.col("quantity")).isNull(), "missing_or_invalid_quantity")
-        .when(price.isNull(), "missing_or_invalid_unit_price")
-        .when(price < 0, "negative_unit_price")
+        F.when(F.col("order_id").isNull() | (F.col("order_id") == ""), "missing_order_id")
+        .when(F.col("order_date").isNull(), "unparseable_order_date")
+        .when(F.col("quantity").isNull(), "missing_or_invalid_quantity")
+        .when(F.col("unit_price").isNull(), "missing_or_invalid_unit_price")
+        .when(F.col("unit_price") < 0, "negative_unit_price")
     )
 
 
 def classify(bronze: DataFrame) -> DataFrame:
     """Typed values beside the raw text they came from, plus `reject_reason`."""
     raw = F.col
-    return bronze.select(
+    typed = bronze.select(
         F.trim(raw("order_id")).alias("order_id"),
         parsing.order_date(raw("order_date")).alias("order_date"),
         parsing.blank_to_null(raw("customer_id")).alias("customer_id"),
@@ -40,12 +39,12 @@ def classify(bronze: DataFrame) -> DataFrame:
         raw("_source_file"),
         parsing.file_date(raw("_source_file")).alias("_source_batch_date"),
         raw("_ingested_at"),
-        reject_reason().alias("reject_reason"),
         raw("order_date").alias("order_date_raw"),
         raw("quantity").alias("quantity_raw"),
         raw("unit_price").alias("unit_price_raw"),
         raw("region").alias("region_raw"),
     )
+    return typed.withColumn("reject_reason", reject_reason())
 
 
 def valid_rows(classified: DataFrame) -> DataFrame:

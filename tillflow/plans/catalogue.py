@@ -53,7 +53,7 @@ def _held_and_incoming(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 
 
 def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify(views.messy_orders(spark, sf_dir))
+    return classify.classify(views.bronze_orders(spark, sf_dir))
 
 
 def _messy_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +176,7 @@ def incremental_gold(spark, sf_dir):
 
 def _write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Messy orders as CSV files with a header; drifted rows get an eighth field."""
-    raw = views.messy_orders(spark, sf_dir)
+    raw = views.bronze_orders(spark, sf_dir)
     writer = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     plain = raw.filter(F.col("_rescued_data").isNull()).select(*schemas.ORDER_FIELDS)
     drifted = raw.filter(F.col("_rescued_data").isNotNull()).select(*schemas.ORDER_FIELDS, "_rescued_data")
@@ -204,14 +204,13 @@ def stream_ingest_counts(spark, sf_dir):
 @query
 def stream_silver(spark, sf_dir):
     """Bronze to Silver in several micro-batches, then the same rows once more."""
-    folder = scratch.new_dir(spark, "silver")
-    layout = pipeline.Layout(f"{folder}/tables", slice_unit="year")
-    bronze = views.messy_orders(spark, sf_dir)
-    bronze.repartition(2, "_source_file").write.parquet(layout.bronze_orders)
+    layout = pipeline.Layout(scratch.new_dir(spark, "silver"), slice_unit="year")
+    bronze = views.bronze_path(spark, sf_dir)
+    half = -(-len(spark.read.parquet(bronze).inputFiles()) // 2)
     for rebuild in (False, True):
         run_silver(
-            spark, layout.bronze_orders, layout.silver, layout.checkpoint("silver"), "query",
-            rebuild=rebuild, max_files_per_trigger=None if rebuild else 1,
+            spark, bronze, layout.silver, layout.checkpoint("silver"), "query",
+            rebuild=rebuild, max_files_per_trigger=None if rebuild else half,
         )
     return layout.orders.read(spark).drop("_slice", "_ingested_at")
 
@@ -236,12 +235,12 @@ def cell_stats(spark, sf_dir):
 
 @query
 def landing_profile(spark, sf_dir):
-    return profile.landing_profile(views.messy_orders(spark, sf_dir))
+    return profile.landing_profile(views.bronze_orders(spark, sf_dir))
 
 
 @query
 def bronze_summary(spark, sf_dir):
-    summary = profile.bronze_summary(views.messy_orders(spark, sf_dir))
+    summary = profile.bronze_summary(views.bronze_orders(spark, sf_dir))
     return summary.withColumns(
         {name: F.col(name).cast("date") for name in ("first_ingested_at", "last_ingested_at")}
     )
@@ -249,7 +248,7 @@ def bronze_summary(spark, sf_dir):
 
 @query
 def version_counts(spark, sf_dir):
-    return profile.version_counts(views.messy_orders(spark, sf_dir))
+    return profile.version_counts(views.bronze_orders(spark, sf_dir))
 
 
 @query
@@ -269,7 +268,7 @@ def table_counts(spark, sf_dir):
     silver = _messy_silver(spark, sf_dir)
     return profile.table_counts(
         {
-            "bronze.orders_raw": views.messy_orders(spark, sf_dir),
+            "bronze.orders_raw": views.bronze_orders(spark, sf_dir),
             "silver.orders": silver,
             "quarantine": rejected,
             "gold_refresh_queue": silver.select("order_date").distinct(),
@@ -280,7 +279,7 @@ def table_counts(spark, sf_dir):
 @query
 def row_balance(spark, sf_dir):
     return reconcile.row_balance(
-        views.messy_orders(spark, sf_dir),
+        views.bronze_orders(spark, sf_dir),
         _messy_silver(spark, sf_dir),
         classify.rejected_rows(_messy(spark, sf_dir)),
     )
@@ -290,7 +289,7 @@ def row_balance(spark, sf_dir):
 def pipeline_totals(spark, sf_dir):
     silver = _messy_silver(spark, sf_dir)
     return reconcile.pipeline_totals(
-        views.messy_orders(spark, sf_dir),
+        views.bronze_orders(spark, sf_dir),
         silver,
         classify.rejected_rows(_messy(spark, sf_dir)),
         gold.daily_sales(silver, views.products(spark, sf_dir)),

@@ -6,10 +6,14 @@ like (which date layout, which defect), never whether it is there.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Lock
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas
+from tillflow.sources import scratch, tables
 
 # Star-schema dates lie before the ten-digit epochs; messy dates move past them.
 SHIFT_DAYS = 3653
@@ -26,6 +30,36 @@ def _every(column: str, n: int, rest: int = 0) -> Column:
     return F.col(column) % n == rest
 
 
+# Landed tables by (application, tables, view): landing happens once per session.
+_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDING = Lock()
+
+
+def landed_path(spark: SparkSession, sf_dir: str, name: str, build: Callable) -> str:
+    """Where a derived view is stored as the table it stands for.
+
+    Raw orders and extracts arrive as files and are read many times; building
+    their text anew under each reader would also merge both into one generated
+    method too large to compile. Rebalancing evens the files out.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    with _LANDING:
+        if key not in _LANDED or not tables.is_complete(spark, _LANDED[key]):
+            folder = scratch.new_dir(spark, name)
+            build(spark, sf_dir).hint("rebalance").write.parquet(folder)
+            _LANDED[key] = folder
+    return _LANDED[key]
+
+
+def bronze_path(spark: SparkSession, sf_dir: str) -> str:
+    return landed_path(spark, sf_dir, "bronze_orders", messy_orders)
+
+
+def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messy orders as a landed table."""
+    return spark.read.schema(schemas.BRONZE_ORDERS).parquet(bronze_path(spark, sf_dir))
+
+
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the order, customer, nation and region they belong to."""
     return (
@@ -173,7 +207,7 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     source_file = F.when(_every("l_suppkey", 40, 1), F.lit("orders_resend.csv")).otherwise(
         F.concat(F.lit("orders_"), _ship_date().cast("string"), F.lit(".csv"))
     )
-    return joined_lines(spark, sf_dir).select(
+    columns = [
         order_id.alias("order_id"),
         order_date.alias("order_date"),
         F.when(_every("o_custkey", 4), F.lit(" ")).otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
@@ -184,11 +218,12 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.lit("EXTRA")).alias("_rescued_data"),
         source_file.alias("_source_file"),
         _ingested_at().alias("_ingested_at"),
-    )
+    ]
+    return joined_lines(spark, sf_dir).select(*columns)
 
 
-def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Two retail extracts that overlap, with lines repeated inside each."""
+def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail lines, some of them repeated."""
     key = F.col("l_partkey").cast("string")
     invoice = F.col("l_orderkey").cast("string")
     cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
@@ -196,7 +231,7 @@ def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     price = F.col("l_extendedprice").cast("decimal(12,2)").cast(schemas.RETAIL_PRICE)
     zero = F.lit(0).cast(schemas.RETAIL_PRICE)
     lines = joined_lines(spark, sf_dir).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    lines = lines.select(
+    return lines.select(
         F.when(cancelled, F.concat(prefix, invoice)).otherwise(invoice).alias("invoice"),
         F.when(_every("l_partkey", 20), F.concat(F.lit("M"), key)).otherwise(key).alias("stock_code"),
         F.when(_every("l_partkey", 37), None)
@@ -210,6 +245,11 @@ def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         F.when((F.col("n_nationkey") == 3) & (F.col("l_linenumber") == 6), None).otherwise(F.col("n_name")).alias("country"),
         F.explode(F.sequence(F.lit(1), F.when(F.col("l_linenumber") == 7, 2).otherwise(1))).alias("copy"),
     ).drop("copy")
+
+
+def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two landed retail extracts that overlap in time."""
+    lines = spark.read.parquet(landed_path(spark, sf_dir, "retail_lines", retail_lines))
     day = F.col("invoice_date").cast("date")
     first = lines.filter(day < F.lit(FIRST_EXTRACT_END).cast("date")).withColumn("source_sheet", F.lit("first"))
     second = lines.filter(day >= F.lit(SECOND_EXTRACT_START).cast("date")).withColumn("source_sheet", F.lit("second"))

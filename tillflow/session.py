@@ -30,6 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Small test files are worth splitting: the default would read them in one or two tasks.
+        .config("spark.sql.files.openCostInBytes", str(512 * 1024))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
