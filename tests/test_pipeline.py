@@ -1,0 +1,232 @@
+"""The pipeline end to end: worked cases, replays, restatements, failures."""
+
+from __future__ import annotations
+
+from datetime import date
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+import samples
+from tillflow.operators import gold as gold_operators
+from tillflow.operators import snapshot, validate
+from tillflow.plans import pipeline
+from tillflow.plans.pipeline import Layout
+from tillflow.sources import tables
+from tillflow.streaming.silver import run_silver
+
+
+class Shop:
+    """One pipeline over a temporary folder."""
+
+    def __init__(self, spark, root: str, slice_unit: str | None = None):
+        self.spark, self.root = spark, Path(root)
+        self.layout = Layout(f"{root}/tables", slice_unit)
+        self.inbox = self.root / "inbox"
+        self.products = samples.product_file(self.root / "reference")
+
+    def drop(self, day: str, lines: str | None = None, suffix: str = "") -> None:
+        samples.drop_file(self.inbox, day, lines, suffix)
+
+    def run(self, **options) -> str:
+        return pipeline.run(self.spark, self.layout, str(self.inbox), self.products, **options)
+
+    def gold(self) -> list[tuple]:
+        report = gold_operators.sales_report(self.layout.gold.read(self.spark))
+        return sorted(tuple(row) for row in report.collect())
+
+    def silver(self) -> list[tuple]:
+        frame = self.layout.orders.read(self.spark).drop("_slice", "_ingested_at")
+        return sorted(tuple(str(v) for v in row) for row in frame.collect())
+
+    def count(self, frame) -> int:
+        return frame.count()
+
+
+@pytest.fixture
+def shop(spark, root):
+    return Shop(spark, root)
+
+
+def test_worked_cases(shop):
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01")
+    shop.run()
+    shop.drop("2024-01-02")
+    shop.run()
+    assert shop.gold() == samples.expected_gold("A")
+    assert sum(row[3] for row in shop.gold()) == Decimal("1744.13")
+    bronze = pipeline.read_bronze(spark, layout)
+    assert (bronze.count(), layout.orders.read(spark).count(), layout.quarantine.read(spark).count()) == (24, 21, 1)
+
+    shop.drop("2024-01-03")
+    shop.run()
+    assert shop.gold() == samples.expected_gold("B")
+    assert sum(row[3] for row in shop.gold()) == Decimal("2911.04")
+    bronze = pipeline.read_bronze(spark, layout)
+    assert (bronze.count(), bronze.select("order_id").distinct().count()) == (30, 27)
+
+    drifted = layout.orders.read(spark).filter("has_schema_drift").collect()
+    assert [row.order_id for row in drifted] == ["O1011"]
+    assert bronze.filter("order_id = 'O1011'").first()._rescued_data.endswith("EXTRA_FLAG")
+    rejected = layout.quarantine.read(spark).first()
+    assert (rejected.order_id, rejected.reject_reason) == ("O2009", "missing_or_invalid_unit_price")
+    restated = layout.orders.read(spark).filter("order_id = 'O1003'").first()
+    assert (restated.quantity, restated._source_file) == (6, "orders_2024-01-02.csv")
+    assert layout.queue.pending(spark).count() == 0
+
+    audit = layout.audit.read(spark).orderBy("run_ts").collect()
+    assert [row.stage for row in audit] == ["silver", "gold"] * 3
+    assert (audit[-1].rows_in, audit[-1].rows_loaded, audit[-1].rows_quarantined) == (27, 26, 1)
+    assert "balanced=True" in audit[-1].notes and len({row.run_id for row in audit}) == 3
+    assert (audit[2].rows_in, audit[2].rows_loaded, audit[2].rows_quarantined) == (12, 11, 1)
+
+
+def test_running_again_changes_nothing(shop):
+    spark, layout = shop.spark, shop.layout
+    for day in samples.DAYS:
+        shop.drop(day)
+    shop.run()
+    assert shop.gold() == samples.expected_gold("B")
+    before, audit = shop.silver(), layout.audit.read(spark).count()
+    shop.run()
+    assert shop.silver() == before and layout.audit.read(spark).count() == audit
+    assert layout.orders.read(spark).agg(F.sum("line_revenue")).first()[0] == Decimal("2911.04")
+
+    gold_before = spark.createDataFrame(layout.gold.read(spark).drop("_refreshed_at").collect(), layout.gold.read(spark).drop("_refreshed_at").schema)
+    shop.run(rebuild=True)
+    after = layout.gold.read(spark).drop("_refreshed_at")
+    assert snapshot.snapshot_diff(gold_before, after).isEmpty()
+    assert shop.silver() == before and layout.quarantine.read(spark).count() == 1
+
+
+@pytest.mark.parametrize("slice_unit", [None, "month"])
+def test_files_in_reverse_order_and_one_by_one(spark, root, slice_unit):
+    shop = Shop(spark, root, slice_unit)
+    for day in sorted(samples.DAYS, reverse=True):
+        shop.drop(day)
+        shop.run()
+    assert shop.gold() == samples.expected_gold("B")
+
+
+def test_a_file_split_over_micro_batches_gives_the_same_silver(spark, root):
+    """Versions of one order in one file resolve by content, wherever they are cut."""
+    lines = [f"O1,2024-01-0{1 + n % 3},C1,P001,{n},2.00,East" for n in range(1, 7)]
+    found = []
+    for k, cut in enumerate([6, 3, 1]):
+        shop = Shop(spark, f"{root}/{k}")
+        shop.drop("2024-01-01", "\n".join(lines))
+        pipeline.ingest_orders(spark, shop.layout, str(shop.inbox))
+        rows = pipeline.read_bronze(spark, shop.layout).withColumn("_ingested_at", F.lit("2024-01-05").cast("timestamp")).collect()
+        bronze = f"{root}/{k}/bronze"
+        for start in range(0, 6, cut):
+            spark.createDataFrame(rows[start:start + cut], pipeline.read_bronze(spark, shop.layout).schema).coalesce(1).write.mode("append").parquet(bronze)
+        run_silver(spark, bronze, shop.layout.silver, shop.layout.checkpoint("s"), "t", max_files_per_trigger=1)
+        found.append(shop.silver())
+        slices = shop.layout.orders.read(spark)
+        assert slices.count() == 1
+    assert found[0] == found[1] == found[2]
+
+
+def test_an_order_that_moves_empties_its_old_date(shop):
+    shop.drop("2024-01-01", "O1,2024-01-01,C1,P001,1,2.00,East\nO2,2024-01-05,C1,P001,1,3.00,East")
+    shop.run()
+    assert [row[0] for row in shop.gold()] == [date(2024, 1, 1), date(2024, 1, 5)]
+    shop.drop("2024-01-02", "O1,2024-01-04,C1,P001,1,2.00,East")
+    shop.run()
+    assert [(row[0].day, row[3]) for row in shop.gold()] == [(4, Decimal("2.00")), (5, Decimal("3.00"))]
+    assert shop.layout.orders.read(shop.spark).count() == 2
+
+
+def test_product_changes_restate_history(shop):
+    for day in samples.DAYS:
+        shop.drop(day)
+    shop.run()
+    text = samples.PRODUCTS.replace("kitchen,12.00", "drinkware,12.00").replace("\nP008,Pen Set,Stationery,9.99", "")
+    shop.products = samples.product_file(shop.root / "reference", text + "\nP099,Lamp,garden,1.00")
+    shop.run()
+    cells = {(row[0].day, row[1], row[2]): row[3] for row in shop.gold()}
+    assert cells[1, "Drinkware", "East"] == Decimal("36.00") and (1, "Kitchen", "East") not in cells
+    assert cells[1, "Garden", "East"] == Decimal("30.00") and (1, "Unknown", "East") not in cells
+    assert cells[2, "Unknown", "East"] == Decimal("59.94") and cells[2, "Stationery", "East"] == Decimal("7.00")
+    assert sum(row[3] for row in shop.gold()) == Decimal("2911.04")
+    assert shop.layout.products.versions(shop.spark) == [1, 2]
+
+
+def test_a_batch_that_dies_while_swapping_is_finished_from_its_work_folder(shop, monkeypatch):
+    """The swap removes slices before it moves new ones in; a retry must not read what is left."""
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01")
+    shop.run()
+    shop.drop("2024-01-02")
+    publish = tables.SlicedTable.publish
+
+    def torn(self, session, path):
+        if self.slice_column == "_slice":
+            tables.discard(session, f"{self.path}/_slice=2024-01-01")
+            raise OSError("lost the driver")
+        publish(self, session, path)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables.SlicedTable, "publish", torn)
+        with pytest.raises(Exception, match="lost the driver"):
+            shop.run()
+    assert layout.queue.pending(spark).count() == 2
+    shop.run()
+    assert shop.gold() == samples.expected_gold("A")
+    assert layout.quarantine.read(spark).count() == 1
+
+
+def test_a_failed_check_publishes_nothing_and_keeps_the_queue(shop, monkeypatch):
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01")
+    shop.run()
+    before = shop.gold()
+    shop.drop("2024-01-02")
+
+    def refuse(*_):
+        raise validate.ValidationError("refused")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(validate, "gate", refuse)
+        with pytest.raises(validate.ValidationError, match="refused"):
+            shop.run()
+    assert shop.gold() == before and layout.queue.pending(spark).count() == 2
+    with monkeypatch.context() as patched:
+        patched.setattr(validate, "verify_published", refuse)
+        with pytest.raises(validate.ValidationError, match="refused"):
+            shop.run()
+    assert layout.queue.pending(spark).count() == 2
+    shop.run()
+    assert shop.gold() == samples.expected_gold("A") and layout.queue.pending(spark).count() == 0
+
+
+def test_gold_rebuilds_in_chunks(shop, monkeypatch):
+    monkeypatch.setattr(pipeline, "DATES_PER_REBUILD", 1)
+    for day in samples.DAYS:
+        shop.drop(day)
+    shop.run()
+    assert shop.gold() == samples.expected_gold("B")
+    assert shop.layout.audit.read(shop.spark).filter("stage = 'gold'").count() == 1
+
+
+def test_a_batch_of_rejects_only(shop):
+    shop.drop("2024-01-01", "O1,bad,C1,P001,1,2.00,East\nO1,bad,C1,P001,1,2.00,East")
+    shop.run()
+    assert shop.gold() == [] and shop.layout.quarantine.read(shop.spark).count() == 2
+    shop.run(rebuild=True)
+    assert shop.layout.quarantine.read(shop.spark).count() == 2
+
+
+def test_queue_entry_added_during_a_rebuild_survives_the_clear(spark, root):
+    queue = tables.RefreshQueue(f"{root}/queue")
+    days = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 1, 2),), (None,)], "order_date DATE")
+    queue.add(days)
+    taken = spark.createDataFrame(queue.pending(spark).collect(), "order_date DATE, queued_at TIMESTAMP")
+    queue.add(days.limit(1))
+    queue.clear(taken)
+    assert [row.order_date.day for row in queue.pending(spark).collect()] == [1]
+    queue.clear(queue.pending(spark))
+    assert queue.pending(spark).isEmpty()
