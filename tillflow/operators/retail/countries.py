@@ -13,7 +13,9 @@ from tillflow.schemas import MONEY
 def country_summary(analysis: DataFrame) -> DataFrame:
     """Sales, orders, customers and share of all sales per country.
 
-    Lines without a country have no row of their own but stay in the total.
+    Lines without a country have no row of their own but stay in the total. They
+    are left out after the grouping: filtered before it, the total would need a
+    second pass over the lines instead of sharing one.
     """
     grouped = (
         sale_lines(analysis)
@@ -22,10 +24,12 @@ def country_summary(analysis: DataFrame) -> DataFrame:
             F.sum("line_value").cast(MONEY).alias("gross_sales"),
             F.countDistinct("invoice").alias("orders"),
             F.countDistinct("customer_id").alias("customers"),
+            F.count("country").alias("named_lines"),
         )
     )
     total = sale_lines(analysis).agg(F.sum("line_value")).scalar()
-    return grouped.filter(F.col("country").isNotNull()).withColumn("sales_share", share(F.col("gross_sales"), total))
+    named = grouped.filter(F.col("named_lines") > 0).drop("named_lines")
+    return named.withColumn("sales_share", share(F.col("gross_sales"), total))
 
 
 def top_countries(summary: DataFrame, n: int = 10) -> DataFrame:
