@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillflow.sources import scratch
+
 # monotonically_increasing_id keeps the partition above this bit and the row's
 # place inside the partition below it.
 PLACE_BITS = 33
@@ -19,6 +21,7 @@ def global_rank(frame: DataFrame, *order: Column) -> DataFrame:
     have to come from one and the same sort. The only frame gathered in one task
     holds one row per partition.
     """
+    scratch.shared_dir(frame.sparkSession)
     placed = (
         frame.orderBy(*order)
         .withColumn("_place", F.monotonically_increasing_id())

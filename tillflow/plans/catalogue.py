@@ -41,23 +41,15 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _held_and_incoming(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Latest deliveries as held orders, latest returns as the batch to upsert.
-
-    Many order ids occur in both, with either side the later one.
-    """
-    typed = views.sales_lines(spark, sf_dir)
-    return (
-        versions.latest_version(typed.filter("quantity >= 0")),
-        versions.latest_version(typed.filter("quantity < 0")),
-    )
+    return views.landed(spark, sf_dir, "held_orders"), views.landed(spark, sf_dir, "incoming_orders")
 
 
 def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.classify(views.bronze_orders(spark, sf_dir))
+    return classify.classify(views.landed(spark, sf_dir, "bronze_orders"))
 
 
-def _messy_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.latest_version(classify.valid_rows(_messy(spark, sf_dir)))
+def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.landed(spark, sf_dir, "silver_orders")
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> report.Cleaned:
@@ -158,7 +150,7 @@ def gold_daily_sales(spark, sf_dir):
 
 @query
 def gold_report(spark, sf_dir):
-    return gold.sales_report(gold.daily_sales(_messy_silver(spark, sf_dir), views.products(spark, sf_dir)))
+    return gold.sales_report(gold.daily_sales(_silver(spark, sf_dir), views.products(spark, sf_dir)))
 
 
 @query
@@ -176,7 +168,7 @@ def incremental_gold(spark, sf_dir):
 
 def _write_order_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Messy orders as CSV files with a header; drifted rows get an eighth field."""
-    raw = views.bronze_orders(spark, sf_dir)
+    raw = views.landed(spark, sf_dir, "bronze_orders")
     writer = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     plain = raw.filter(F.col("_rescued_data").isNull()).select(*schemas.ORDER_FIELDS)
     drifted = raw.filter(F.col("_rescued_data").isNotNull()).select(*schemas.ORDER_FIELDS, "_rescued_data")
@@ -205,7 +197,7 @@ def stream_ingest_counts(spark, sf_dir):
 def stream_silver(spark, sf_dir):
     """Bronze to Silver in several micro-batches, then the same rows once more."""
     layout = pipeline.Layout(scratch.new_dir(spark, "silver"), slice_unit="year")
-    bronze = views.bronze_path(spark, sf_dir)
+    bronze = views.landed_path(spark, sf_dir, "bronze_orders")
     half = -(-len(spark.read.parquet(bronze).inputFiles()) // 2)
     for rebuild in (False, True):
         run_silver(
@@ -235,12 +227,12 @@ def cell_stats(spark, sf_dir):
 
 @query
 def landing_profile(spark, sf_dir):
-    return profile.landing_profile(views.bronze_orders(spark, sf_dir))
+    return profile.landing_profile(views.landed(spark, sf_dir, "bronze_orders"))
 
 
 @query
 def bronze_summary(spark, sf_dir):
-    summary = profile.bronze_summary(views.bronze_orders(spark, sf_dir))
+    summary = profile.bronze_summary(views.landed(spark, sf_dir, "bronze_orders"))
     return summary.withColumns(
         {name: F.col(name).cast("date") for name in ("first_ingested_at", "last_ingested_at")}
     )
@@ -248,12 +240,12 @@ def bronze_summary(spark, sf_dir):
 
 @query
 def version_counts(spark, sf_dir):
-    return profile.version_counts(views.bronze_orders(spark, sf_dir))
+    return profile.version_counts(views.landed(spark, sf_dir, "bronze_orders"))
 
 
 @query
 def rows_per_date(spark, sf_dir):
-    return profile.rows_per_date(_messy_silver(spark, sf_dir))
+    return profile.rows_per_date(_silver(spark, sf_dir))
 
 
 @query
@@ -265,10 +257,10 @@ def restatement_check(spark, sf_dir):
 @query
 def table_counts(spark, sf_dir):
     rejected = classify.rejected_rows(_messy(spark, sf_dir))
-    silver = _messy_silver(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
     return profile.table_counts(
         {
-            "bronze.orders_raw": views.bronze_orders(spark, sf_dir),
+            "bronze.orders_raw": views.landed(spark, sf_dir, "bronze_orders"),
             "silver.orders": silver,
             "quarantine": rejected,
             "gold_refresh_queue": silver.select("order_date").distinct(),
@@ -279,17 +271,17 @@ def table_counts(spark, sf_dir):
 @query
 def row_balance(spark, sf_dir):
     return reconcile.row_balance(
-        views.bronze_orders(spark, sf_dir),
-        _messy_silver(spark, sf_dir),
+        views.landed(spark, sf_dir, "bronze_orders"),
+        _silver(spark, sf_dir),
         classify.rejected_rows(_messy(spark, sf_dir)),
     )
 
 
 @query
 def pipeline_totals(spark, sf_dir):
-    silver = _messy_silver(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
     return reconcile.pipeline_totals(
-        views.bronze_orders(spark, sf_dir),
+        views.landed(spark, sf_dir, "bronze_orders"),
         silver,
         classify.rejected_rows(_messy(spark, sf_dir)),
         gold.daily_sales(silver, views.products(spark, sf_dir)),
@@ -298,7 +290,7 @@ def pipeline_totals(spark, sf_dir):
 
 @query
 def tie_out(spark, sf_dir):
-    silver = _messy_silver(spark, sf_dir)
+    silver = _silver(spark, sf_dir)
     cells = gold.daily_sales(silver, views.products(spark, sf_dir))
     return reconcile.tie_out(silver, cells, silver.select("order_date"))
 

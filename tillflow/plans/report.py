@@ -59,6 +59,7 @@ def metric_frames(cleaned: Cleaned) -> dict[str, DataFrame]:
         "repeat_purchase": customers.repeat_purchase(summary),
         "country_summary": by_country,
         "top_countries": countries.top_countries(by_country),
+        "product_summary": products.product_summary(analysis),
         "top_products": products.top_products(analysis),
         "negative_breakdown": negatives.negative_breakdown(analysis),
         "top_negative_lines": negatives.top_negative_lines(analysis),

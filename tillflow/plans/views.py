@@ -7,12 +7,13 @@ like (which date layout, which defect), never whether it is there.
 from __future__ import annotations
 
 from collections.abc import Callable
-from threading import Lock
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow import schemas
+from tillflow.operators import classify, versions
 from tillflow.sources import scratch, tables
 
 # Star-schema dates lie before the ten-digit epochs; messy dates move past them.
@@ -30,36 +31,6 @@ def _every(column: str, n: int, rest: int = 0) -> Column:
     return F.col(column) % n == rest
 
 
-# Landed tables by (application, tables, view): landing happens once per session.
-_LANDED: dict[tuple[str, str, str], str] = {}
-_LANDING = Lock()
-
-
-def landed_path(spark: SparkSession, sf_dir: str, name: str, build: Callable) -> str:
-    """Where a derived view is stored as the table it stands for.
-
-    Raw orders and extracts arrive as files and are read many times; building
-    their text anew under each reader would also merge both into one generated
-    method too large to compile. Rebalancing evens the files out.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    with _LANDING:
-        if key not in _LANDED or not tables.is_complete(spark, _LANDED[key]):
-            folder = scratch.new_dir(spark, name)
-            build(spark, sf_dir).hint("rebalance").write.parquet(folder)
-            _LANDED[key] = folder
-    return _LANDED[key]
-
-
-def bronze_path(spark: SparkSession, sf_dir: str) -> str:
-    return landed_path(spark, sf_dir, "bronze_orders", messy_orders)
-
-
-def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messy orders as a landed table."""
-    return spark.read.schema(schemas.BRONZE_ORDERS).parquet(bronze_path(spark, sf_dir))
-
-
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with the order, customer, nation and region they belong to."""
     return (
@@ -219,7 +190,8 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_file.alias("_source_file"),
         _ingested_at().alias("_ingested_at"),
     ]
-    return joined_lines(spark, sf_dir).select(*columns)
+    # Rebalanced, because nothing evens out the files of a map-only write.
+    return joined_lines(spark, sf_dir).select(*columns).hint("rebalance")
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,12 +216,56 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("o_custkey", 4), None).otherwise(F.col("o_custkey")).alias("customer_id"),
         F.when((F.col("n_nationkey") == 3) & (F.col("l_linenumber") == 6), None).otherwise(F.col("n_name")).alias("country"),
         F.explode(F.sequence(F.lit(1), F.when(F.col("l_linenumber") == 7, 2).otherwise(1))).alias("copy"),
-    ).drop("copy")
+    ).drop("copy").hint("rebalance")
+
+
+def held_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest deliveries, as orders held before a batch of returns arrives."""
+    return versions.latest_version(sales_lines(spark, sf_dir).filter("quantity >= 0"))
+
+
+def incoming_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest returns. Many of their order ids are held, with either side the later one."""
+    return versions.latest_version(sales_lines(spark, sf_dir).filter("quantity < 0"))
+
+
+def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest valid version of every messy order."""
+    bronze = landed(spark, sf_dir, "bronze_orders")
+    return versions.latest_version(classify.valid_rows(classify.classify(bronze)))
+
+
+# Views that stand for stored tables: raw files, extracts, and the Silver layer
+# that balances and reports read. Each is written once per session.
+LANDINGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "bronze_orders": messy_orders,
+    "silver_orders": silver_orders,
+    "held_orders": held_orders,
+    "incoming_orders": incoming_orders,
+    "retail_lines": retail_lines,
+}
+_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDING = RLock()
+
+
+def landed_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where a view of `LANDINGS` is stored, after storing it if need be."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    with _LANDING:
+        if key not in _LANDED or not tables.is_complete(spark, _LANDED[key]):
+            folder = scratch.new_dir(spark, name)
+            LANDINGS[name](spark, sf_dir).write.parquet(folder)
+            _LANDED[key] = folder
+    return _LANDED[key]
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(landed_path(spark, sf_dir, name))
 
 
 def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Two landed retail extracts that overlap in time."""
-    lines = spark.read.parquet(landed_path(spark, sf_dir, "retail_lines", retail_lines))
+    """Two extracts that overlap in time."""
+    lines = landed(spark, sf_dir, "retail_lines")
     day = F.col("invoice_date").cast("date")
     first = lines.filter(day < F.lit(FIRST_EXTRACT_END).cast("date")).withColumn("source_sheet", F.lit("first"))
     second = lines.filter(day >= F.lit(SECOND_EXTRACT_START).cast("date")).withColumn("source_sheet", F.lit("second"))

@@ -27,9 +27,11 @@ def standardise(raw: DataFrame, sheet: str) -> DataFrame:
     return named.withColumns({**text, **typed, "source_sheet": F.lit(sheet)})
 
 
-def read_extracts(spark: SparkSession, paths: dict[str, str]) -> list[DataFrame]:
-    """One standardised frame per sheet name and exported CSV."""
-    return [
-        standardise(spark.read.option("header", "true").option("multiLine", "true").csv(path), sheet)
-        for sheet, path in paths.items()
-    ]
+def read_extracts(spark: SparkSession, paths: dict[str, str], multi_line: bool = False) -> list[DataFrame]:
+    """One standardised frame per sheet name and exported CSV.
+
+    `multi_line` reads line breaks inside quoted text, at the price of one task
+    per file.
+    """
+    reader = spark.read.option("header", "true").option("multiLine", str(multi_line).lower())
+    return [standardise(reader.csv(path), sheet) for sheet, path in paths.items()]

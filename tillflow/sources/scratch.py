@@ -15,17 +15,15 @@ def shared_dir(spark: SparkSession) -> str:
 
     A machine-local folder stands in only on a single machine.
     """
-    configured = spark.conf.get(CHECKPOINT_CONF, None)
-    if configured:
-        return configured.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tillflow-")
-    context.setCheckpointDir(folder)
-    return folder
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tillflow-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
