@@ -113,21 +113,21 @@ def test_files_in_reverse_order_and_one_by_one(spark, root, slice_unit):
 
 def test_a_file_split_over_micro_batches_gives_the_same_silver(spark, root):
     """Versions of one order in one file resolve by content, wherever they are cut."""
-    lines = [f"O1,2024-01-0{1 + n % 3},C1,P001,{n},2.00,East" for n in range(1, 7)]
+    lines = [f"O1,2024-01-0{1 + n % 3},C1,P001,{n},2.00,East" for n in range(1, 5)]
     found = []
-    for k, cut in enumerate([6, 3, 1]):
+    for k, cut in enumerate([4, 1]):
         shop = Shop(spark, f"{root}/{k}")
         shop.drop("2024-01-01", "\n".join(lines))
         pipeline.ingest_orders(spark, shop.layout, str(shop.inbox))
         rows = pipeline.read_bronze(spark, shop.layout).withColumn("_ingested_at", F.lit("2024-01-05").cast("timestamp")).collect()
         bronze = f"{root}/{k}/bronze"
-        for start in range(0, 6, cut):
+        for start in range(0, 4, cut):
             spark.createDataFrame(rows[start:start + cut], pipeline.read_bronze(spark, shop.layout).schema).coalesce(1).write.mode("append").parquet(bronze)
         run_silver(spark, bronze, shop.layout.silver, shop.layout.checkpoint("s"), "t", max_files_per_trigger=1)
         found.append(shop.silver())
         slices = shop.layout.orders.read(spark)
         assert slices.count() == 1
-    assert found[0] == found[1] == found[2]
+    assert found[0] == found[1]
 
 
 def test_an_order_that_moves_empties_its_old_date(shop):
