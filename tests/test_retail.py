@@ -58,8 +58,8 @@ def value(row):
     return None if row[3] is None or row[5] is None else row[3] * row[5]
 
 
-def cents(amount) -> Decimal:
-    return Decimal(amount).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")
+def money(amount) -> Decimal:
+    return Decimal(amount).quantize(Decimal("0.0001"), rounding="ROUND_HALF_UP")
 
 
 @pytest.fixture(scope="module")
@@ -90,8 +90,8 @@ def test_cleaning_steps(world):
     impact = extracts.overlap_impact(world["ledger"]).first()
     positive = lambda r: r[3] is not None and r[5] is not None and r[3] > 0 and r[5] > 0
     before, after = (sum(value(r) for r in rows if flags(r)[0]) for rows in (world["kept"], world["lines"]))
-    assert impact.overlap_gross_inflation == cents(sum(value(r) for r in overlap if positive(r)))
-    assert (impact.gross_before_dedup, impact.gross_sales) == (cents(before), cents(after))
+    assert impact.overlap_gross_inflation == money(sum(value(r) for r in overlap if positive(r)))
+    assert (impact.gross_before_dedup, impact.gross_sales) == (money(before), money(after))
     assert impact.dedup_sales_impact == pytest.approx(float((before - after) / before), abs=1e-6)
 
 
@@ -146,10 +146,10 @@ def test_monthly_sales_and_what_is_read_from_them(world):
     found = {r.month: r for r in monthly.collect()}
     assert set(found) == set(by_month)
     for month, rows in by_month.items():
-        gross, orders = cents(sum(value(r) for r in rows)), len({r[0] for r in rows} - {None})
+        gross, orders = money(sum(value(r) for r in rows)), len({r[0] for r in rows} - {None})
         got = found[month]
         assert (got.gross_sales, got.orders, got.identified_customers) == (gross, orders, len({r[6] for r in rows} - {None}))
-        assert got.average_order_value == (cents(gross / orders) if orders else None)
+        assert got.average_order_value == (money(gross / orders) if orders else None)
 
     end = max(r[4] for r in world["lines"]).date()
     complete = {m: r.gross_sales for m, r in found.items() if (m.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1) <= end}
@@ -171,8 +171,8 @@ def test_customers(world):
             totals[r[6]] += value(r)
             orders[r[6]] |= {r[0]} - {None}
     summary = customers.customer_summary(world["analysis"])
-    assert {r.customer_id: (r.gross_sales, r.orders) for r in summary.collect()} == {c: (cents(v), len(orders[c])) for c, v in totals.items()}
-    ranked = sorted((cents(v) for v in totals.values()), reverse=True)
+    assert {r.customer_id: (r.gross_sales, r.orders) for r in summary.collect()} == {c: (money(v), len(orders[c])) for c, v in totals.items()}
+    ranked = sorted((money(v) for v in totals.values()), reverse=True)
     for r in customers.customer_concentration(summary, [1, 5, 10, 20, 50, 100]).collect():
         n = max(1, math.ceil(len(ranked) * r.top_percent / 100))
         assert (r.customers, r.gross_sales) == (n, sum(ranked[:n]))
@@ -195,8 +195,8 @@ def test_countries_keep_unnamed_sales_in_the_total(world):
     assert set(found) == {r[7] for r in sold} - {None}
     for country, row in found.items():
         gross = sum(value(r) for r in sold if r[7] == country)
-        assert row.gross_sales == cents(gross)
-        assert row.sales_share == pytest.approx(float(cents(gross) / total), abs=1e-6)
+        assert row.gross_sales == money(gross)
+        assert row.sales_share == pytest.approx(float(money(gross) / total), abs=1e-6)
     assert sum(r.sales_share for r in found.values()) < 0.99
     assert countries.top_countries(summary, 1).first().gross_sales == max(r.gross_sales for r in found.values())
     assert countries.share_of_country(summary, "France").count() == 1
@@ -214,7 +214,7 @@ def test_products_and_their_usual_description(spark, world):
         if flags(r)[0] and flags(r)[2]:
             gross[r[1]] += value(r)
     want = sorted(gross, key=lambda c: (-gross[c], c))[:2]
-    assert {r.stock_code: (r.gross_sales, r.description) for r in top} == {c: (cents(gross[c]), found[c].description) for c in want}
+    assert {r.stock_code: (r.gross_sales, r.description) for r in top} == {c: (money(gross[c]), found[c].description) for c in want}
 
 
 def test_tied_descriptions_resolve_by_spelling(spark):
@@ -228,9 +228,9 @@ def test_negatives_and_extremes(world):
     total = sum(-value(r) for r in negative)
     for row in negatives.negative_breakdown(world["analysis"]).collect():
         part = [r for r in negative if flags(r)[2] == (row.code_group == negatives.PRODUCT_LIKE)]
-        assert row.negative_value == cents(sum(-value(r) for r in part))
+        assert row.negative_value == money(sum(-value(r) for r in part))
         assert row.row_count == sum(r[0] is not None for r in part)
-        assert row.negative_value_share == pytest.approx(float(sum(-value(r) for r in part) / total), abs=1e-4)
+        assert row.negative_value_share == pytest.approx(float(sum(-value(r) for r in part) / total), abs=1e-6)
     top = negatives.top_negative_lines(world["analysis"]).collect()
     assert [r.negative_value for r in top] == sorted((-value(r) for r in negative), reverse=True)[:12]
     extreme = negatives.extreme_lines(world["analysis"]).collect()
@@ -243,9 +243,9 @@ def test_headline_overview_and_scorecard(world):
     head = quality.headline_metrics(world["analysis"]).first()
     gross, lost = sum(value(r) for r in sold), sum(-value(r) for r in negative)
     net = sum(value(r) for r in rows if r[5] is not None and r[5] > 0 and value(r) is not None)
-    assert (head.gross_sales, head.negative_value, head.net_transaction_value) == (cents(gross), cents(lost), cents(net))
+    assert (head.gross_sales, head.negative_value, head.net_transaction_value) == (money(gross), money(lost), money(net))
     assert head.missing_customer_share == pytest.approx(sum(r[6] is None for r in rows) / len(rows), abs=1e-6)
-    assert head.negative_value_rate == pytest.approx(float(lost / gross), abs=1e-4)
+    assert head.negative_value_rate == pytest.approx(float(lost / gross), abs=1e-6)
     view = quality.overview(world["analysis"]).first()
     distinct = lambda rs, i: len({r[i] for r in rs} - {None})
     assert (view.row_count, view.invoices, view.sale_invoices) == (len(rows), distinct(rows, 0), distinct(sold, 0))

@@ -54,6 +54,6 @@ def share(part: Column, whole: Column) -> Column:
     return F.round(part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), 6)
 
 
-def average(total: Column, count: Column) -> Column:
+def average(total: Column, count: Column, sql_type: str) -> Column:
     """Money per item, rounded half up; null when there are no items."""
-    return (total / F.nullif(count, F.lit(0).cast("bigint"))).cast("decimal(18,2)")
+    return (total / F.nullif(count, F.lit(0).cast("bigint"))).cast(sql_type)

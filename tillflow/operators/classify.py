@@ -13,7 +13,7 @@ def reject_reason() -> Column:
     """The first failing check of a typed row, null for a good one.
 
     The order is part of the contract: the reason named is always the most
-    fundamental problem of the row.
+    fundamental problem of the row. The names are fixed values.
     """
     return (
         F.when(F.col("order_id").isNull() | (F.col("order_id") == ""), "missing_order_id")

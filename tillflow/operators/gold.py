@@ -39,7 +39,7 @@ def daily_sales(orders: DataFrame, products: DataFrame, unique_orders: bool = Fa
             F.col("_revenue").cast("decimal(18,2)").alias("net_revenue"),
             "order_count",
             "units_sold",
-            average(F.col("_revenue"), F.col("order_count")).alias("aov"),
+            average(F.col("_revenue"), F.col("order_count"), "decimal(18,2)").alias("aov"),
         )
     )
 

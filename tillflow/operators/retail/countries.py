@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.retail import share
 from tillflow.operators.retail.lines import sale_lines
-from tillflow.schemas import MONEY
+from tillflow.schemas import RETAIL_MONEY
 
 
 def country_summary(analysis: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def country_summary(analysis: DataFrame) -> DataFrame:
         sale_lines(analysis)
         .groupBy("country")
         .agg(
-            F.sum("line_value").cast(MONEY).alias("gross_sales"),
+            F.sum("line_value").cast(RETAIL_MONEY).alias("gross_sales"),
             F.countDistinct("invoice").alias("orders"),
             F.countDistinct("customer_id").alias("customers"),
             F.count("country").alias("named_lines"),

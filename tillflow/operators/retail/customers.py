@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillflow.functions.retail import share
 from tillflow.operators.ranking import global_rank
 from tillflow.operators.retail.lines import sale_lines
-from tillflow.schemas import MONEY
+from tillflow.schemas import RETAIL_MONEY
 
 # Fixed value: the customer shares reported, in percent.
 TOP_PERCENTS = [1, 5, 10, 20]
@@ -22,7 +22,7 @@ def customer_summary(analysis: DataFrame) -> DataFrame:
         sale_lines(analysis)
         .dropna(subset=["customer_id"])
         .groupBy("customer_id")
-        .agg(F.sum("line_value").cast(MONEY).alias("gross_sales"), F.countDistinct("invoice").alias("orders"))
+        .agg(F.sum("line_value").cast(RETAIL_MONEY).alias("gross_sales"), F.countDistinct("invoice").alias("orders"))
     )
 
 
@@ -43,7 +43,7 @@ def customer_concentration(summary: DataFrame, percents: Iterable[int] = TOP_PER
         F.struct(
             F.lit(p).alias("top_percent"),
             F.lit(cut).cast("bigint").alias("customers"),
-            F.col(f"top_{p}").cast(MONEY).alias("gross_sales"),
+            F.col(f"top_{p}").cast(RETAIL_MONEY).alias("gross_sales"),
             share(F.col(f"top_{p}"), F.col("everyone")).alias("sales_share"),
         )
         for p, cut in cuts.items()

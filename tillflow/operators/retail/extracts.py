@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions import retail
 from tillflow.operators.validate import ValidationError
-from tillflow.schemas import EXTRACT_COLUMNS, MONEY
+from tillflow.schemas import EXTRACT_COLUMNS, RETAIL_MONEY
 
 
 class OverlapMismatch(ValidationError):
@@ -166,7 +166,7 @@ def overlap_impact(ledger: DataFrame) -> DataFrame:
         F.sum(F.when(sale, value * F.col("kept_rows"))).alias("before"),
         F.sum(F.when(sale & kept, value)).alias("after"),
     )
-    zero = lambda column: F.coalesce(F.col(column), F.lit(0)).cast(MONEY)
+    zero = lambda column: F.coalesce(F.col(column), F.lit(0)).cast(RETAIL_MONEY)
     return amounts.select(
         zero("inflation").alias("overlap_gross_inflation"),
         zero("before").alias("gross_before_dedup"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.operators.retail.lines import sale_lines
-from tillflow.schemas import MONEY
+from tillflow.schemas import RETAIL_MONEY
 
 
 def product_summary(analysis: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def product_summary(analysis: DataFrame) -> DataFrame:
         .filter("is_product_like_code")
         .groupBy("stock_code")
         .agg(
-            F.sum("line_value").cast(MONEY).alias("gross_sales"),
+            F.sum("line_value").cast(RETAIL_MONEY).alias("gross_sales"),
             F.sum("quantity").cast("bigint").alias("units"),
             F.countDistinct("invoice").alias("orders"),
         )

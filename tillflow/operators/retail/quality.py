@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tillflow.functions import retail
 from tillflow.functions.retail import share
 from tillflow.operators.retail.lines import with_line_flags
-from tillflow.schemas import MONEY
+from tillflow.schemas import RETAIL_MONEY
 
 
 def _total(condition: Column, sign: int = 1) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("line_value") * sign)), F.lit(0)).cast(MONEY)
+    return F.coalesce(F.sum(F.when(condition, F.col("line_value") * sign)), F.lit(0)).cast(RETAIL_MONEY)
 
 
 def headline_metrics(analysis: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def quality_scorecard(ledger: DataFrame) -> DataFrame:
 
     One aggregate over the row ledger serves all eight. The overlap is a share
     of all extract rows, repeats a share of the rows left after it, the rest a
-    share of the analysed rows.
+    share of the analysed rows. The names of the issues are fixed values.
     """
     line = with_line_flags(ledger)
     kept = F.col("kept_rows") > 0

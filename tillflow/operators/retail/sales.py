@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillflow.functions.retail import average, share
 from tillflow.operators.retail.lines import sale_lines
-from tillflow.schemas import MONEY
+from tillflow.schemas import RETAIL_MONEY
 
 # The season compared, and the last month of the compared year.
 SEASON_MONTHS = [9, 10, 11]
@@ -24,11 +24,11 @@ def monthly_sales(analysis: DataFrame) -> DataFrame:
         .filter(F.col("month").isNotNull())
         .groupBy("month")
         .agg(
-            F.sum("line_value").cast(MONEY).alias("gross_sales"),
+            F.sum("line_value").cast(RETAIL_MONEY).alias("gross_sales"),
             F.countDistinct("invoice").alias("orders"),
             F.countDistinct("customer_id").alias("identified_customers"),
         )
-        .withColumn("average_order_value", average(F.col("gross_sales"), F.col("orders")))
+        .withColumn("average_order_value", average(F.col("gross_sales"), F.col("orders"), RETAIL_MONEY))
     )
 
 
@@ -61,8 +61,8 @@ def seasonality_share(monthly: DataFrame, years: Iterable[int] | None = None) ->
         dated.filter(F.month("month") <= LAST_COMPARED_MONTH)
         .groupBy("year")
         .agg(
-            F.sum("gross_sales").cast(MONEY).alias("jan_nov_sales"),
-            F.coalesce(F.sum(F.when(in_season, F.col("gross_sales"))), F.lit(0)).cast(MONEY).alias("sep_nov_sales"),
+            F.sum("gross_sales").cast(RETAIL_MONEY).alias("jan_nov_sales"),
+            F.coalesce(F.sum(F.when(in_season, F.col("gross_sales"))), F.lit(0)).cast(RETAIL_MONEY).alias("sep_nov_sales"),
         )
         .withColumn("sep_nov_share", share(F.col("sep_nov_sales"), F.col("jan_nov_sales")))
     )

@@ -361,7 +361,7 @@ def overlap_impact(spark, sf_dir):
 
 @query
 def line_flags(spark, sf_dir):
-    return _day(_analysis(spark, sf_dir)).withColumn("line_value", F.col("line_value").cast(schemas.MONEY))
+    return _day(_analysis(spark, sf_dir)).withColumn("line_value", F.col("line_value").cast(schemas.RETAIL_MONEY))
 
 
 # --- retail metrics ----------------------------------------------------------
@@ -442,13 +442,13 @@ def negative_breakdown(spark, sf_dir):
 @query
 def top_negative_lines(spark, sf_dir):
     top = negatives.top_negative_lines(_analysis(spark, sf_dir))
-    return _day(top).withColumn("negative_value", F.col("negative_value").cast(schemas.MONEY))
+    return _day(top).withColumn("negative_value", F.col("negative_value").cast(schemas.RETAIL_MONEY))
 
 
 @query
 def extreme_lines(spark, sf_dir):
     top = negatives.extreme_lines(_analysis(spark, sf_dir))
-    return _day(top).withColumn("line_value", F.col("line_value").cast(schemas.MONEY))
+    return _day(top).withColumn("line_value", F.col("line_value").cast(schemas.RETAIL_MONEY))
 
 
 @query

@@ -190,6 +190,10 @@ def money(expression: str) -> str:
     return f"CAST({expression} AS DECIMAL(18,2))"
 
 
+def amount(expression: str) -> str:
+    return f"CAST({expression} AS DECIMAL(22,4))"
+
+
 def whole(expression: str) -> str:
     return f"CAST({expression} AS BIGINT)"
 
@@ -198,11 +202,11 @@ def share(part: str, of: str) -> str:
     return f"round(CAST({part} AS DOUBLE) / nullif(CAST({of} AS DOUBLE), 0), 6)"
 
 
-def average(total: str, count: str) -> str:
-    """Money per item rounded half up, worked out in whole cents."""
-    cents = f"CAST(({total}) * 100 AS HUGEINT)"
-    rounded = f"sign({cents}) * ((2 * abs({cents}) + {count}) // (2 * nullif({count}, 0)))"
-    return f"CAST(CAST({rounded} AS DECIMAL(20,0)) / 100 AS DECIMAL(18,2))"
+def average(total: str, count: str, places: int, sql_type: str) -> str:
+    """Money per item rounded half up, worked out in whole units of the last place."""
+    units = f"CAST(({total}) * {10 ** places} AS HUGEINT)"
+    rounded = f"sign({units}) * ((2 * abs({units}) + {count}) // (2 * nullif({count}, 0)))"
+    return f"CAST(CAST({rounded} AS DECIMAL(24,0)) / {10 ** places} AS {sql_type})"
 
 
 def cells(name: str, source: str, reference: str = "products") -> str:
@@ -210,7 +214,7 @@ def cells(name: str, source: str, reference: str = "products") -> str:
     return f"""
 {name} AS (
   SELECT order_date, category, region, {money('revenue')} AS net_revenue, order_count, units_sold,
-    {average('revenue', 'order_count')} AS aov
+    {average('revenue', 'order_count', 2, 'DECIMAL(18,2)')} AS aov
   FROM (
     SELECT o.order_date, coalesce(p.category, 'Unknown') AS category, o.region,
       sum(CAST(o.quantity * o.unit_price AS DECIMAL(14,2))) AS revenue,
@@ -263,23 +267,23 @@ negative AS (SELECT *, -line_value AS negative_value FROM analysis WHERE is_nega
 
 MONTHLY = f"""
 monthly AS (
-  SELECT month, {money('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders,
+  SELECT month, {amount('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders,
     count(DISTINCT customer_id) AS identified_customers,
-    {average(money('sum(line_value)'), 'count(DISTINCT invoice)')} AS average_order_value
+    {average('sum(line_value)', 'count(DISTINCT invoice)', 4, 'DECIMAL(22,4)')} AS average_order_value
   FROM sold GROUP BY month
 )"""
 
 CUSTOMERS = f"""
 customers AS (
-  SELECT customer_id, {money('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders
+  SELECT customer_id, {amount('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders
   FROM sold WHERE customer_id IS NOT NULL GROUP BY customer_id
 )"""
 
 COUNTRIES = f"""
 countries AS (
-  SELECT country, {money('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders,
+  SELECT country, {amount('sum(line_value)')} AS gross_sales, count(DISTINCT invoice) AS orders,
     count(DISTINCT customer_id) AS customers,
-    {share(money('sum(line_value)'), '(SELECT sum(line_value) FROM sold)')} AS sales_share
+    {share(amount('sum(line_value)'), '(SELECT sum(line_value) FROM sold)')} AS sales_share
   FROM sold WHERE country IS NOT NULL GROUP BY country
 )"""
 
@@ -294,7 +298,7 @@ descriptions AS (
 
 PRODUCT_SALES = f"""
 product_sales AS (
-  SELECT stock_code, {money('sum(line_value)')} AS gross_sales, {whole('sum(quantity)')} AS units,
+  SELECT stock_code, {amount('sum(line_value)')} AS gross_sales, {whole('sum(quantity)')} AS units,
     count(DISTINCT invoice) AS orders
   FROM sold WHERE is_product_like_code GROUP BY stock_code
 )"""
@@ -364,7 +368,7 @@ def _step(label: str, count: str) -> str:
 
 
 def _total(condition: str, value: str = "line_value") -> str:
-    return money(f"coalesce(sum({value}) FILTER ({condition}), 0)")
+    return amount(f"coalesce(sum({value}) FILTER ({condition}), 0)")
 
 
 ORDER_CHECKS = {
@@ -523,13 +527,13 @@ ORACLE: dict[str, str] = {
     "overlap_impact": over_retail(
         f"""SELECT overlap_gross_inflation, gross_before_dedup, gross_sales,
           {share('gross_before_dedup - gross_sales', 'gross_before_dedup')} AS dedup_sales_impact FROM (
-          SELECT (SELECT {money('sum(quantity * unit_price)')} FROM older_overlap
+          SELECT (SELECT {amount('sum(quantity * unit_price)')} FROM older_overlap
               WHERE quantity > 0 AND unit_price > 0) AS overlap_gross_inflation,
-            (SELECT {money('sum(quantity * unit_price)')} FROM resolved
+            (SELECT {amount('sum(quantity * unit_price)')} FROM resolved
               WHERE quantity > 0 AND unit_price > 0 AND NOT starts_with(upper(invoice), 'C')) AS gross_before_dedup,
-            (SELECT {money('sum(line_value)')} FROM sold) AS gross_sales)"""
+            (SELECT {amount('sum(line_value)')} FROM sold) AS gross_sales)"""
     ),
-    "line_flags": over_retail(f"SELECT * REPLACE ({money('line_value')} AS line_value) FROM analysis"),
+    "line_flags": over_retail(f"SELECT * REPLACE ({amount('line_value')} AS line_value) FROM analysis"),
     "monthly_sales": over_retail("SELECT * FROM monthly", MONTHLY),
     "selected_months": over_retail(
         "SELECT * FROM monthly WHERE month IN (DATE '1998-11-01', DATE '1999-11-01')", MONTHLY
@@ -543,15 +547,15 @@ ORACLE: dict[str, str] = {
     ),
     "seasonality_share": over_retail(
         f"""SELECT *, {share('sep_nov_sales', 'jan_nov_sales')} AS sep_nov_share FROM (
-          SELECT CAST(year(month) AS INTEGER) AS year, {money('sum(gross_sales)')} AS jan_nov_sales,
-            {money('coalesce(sum(gross_sales) FILTER (month(month) BETWEEN 9 AND 11), 0)')} AS sep_nov_sales
+          SELECT CAST(year(month) AS INTEGER) AS year, {amount('sum(gross_sales)')} AS jan_nov_sales,
+            {amount('coalesce(sum(gross_sales) FILTER (month(month) BETWEEN 9 AND 11), 0)')} AS sep_nov_sales
           FROM monthly WHERE month(month) <= 11 AND year(month) BETWEEN 1996 AND 2000 GROUP BY year(month))""",
         MONTHLY,
     ),
     "customer_summary": over_retail("SELECT * FROM customers", CUSTOMERS),
     "customer_concentration": over_retail(
         f"""SELECT top_percent, {whole('cuts.customers')} AS customers,
-          {money('(SELECT sum(gross_sales) FROM placed WHERE place <= cuts.customers)')} AS gross_sales,
+          {amount('(SELECT sum(gross_sales) FROM placed WHERE place <= cuts.customers)')} AS gross_sales,
           {share('(SELECT sum(gross_sales) FROM placed WHERE place <= cuts.customers)',
                  '(SELECT sum(gross_sales) FROM customers)')} AS sales_share FROM cuts""",
         CUSTOMERS, TOP_CUTS,
@@ -571,18 +575,18 @@ ORACLE: dict[str, str] = {
         PRODUCT_SALES, DESCRIPTIONS,
     ),
     "negative_breakdown": over_retail(
-        f"""SELECT code_group, {money('sum(negative_value)')} AS negative_value, count(invoice) AS row_count,
-          {share(money('sum(negative_value)'), '(SELECT sum(negative_value) FROM negative)')} AS negative_value_share
+        f"""SELECT code_group, {amount('sum(negative_value)')} AS negative_value, count(invoice) AS row_count,
+          {share(amount('sum(negative_value)'), '(SELECT sum(negative_value) FROM negative)')} AS negative_value_share
         FROM (SELECT *, CASE WHEN is_product_like_code THEN 'Product-like stock code'
             ELSE 'Non-product-like / administrative code' END AS code_group FROM negative) GROUP BY code_group"""
     ),
     "top_negative_lines": over_retail(
-        f"""SELECT {LINE}, {money('negative_value')} AS negative_value, customer_id, country FROM negative
+        f"""SELECT {LINE}, {amount('negative_value')} AS negative_value, customer_id, country FROM negative
         ORDER BY negative.negative_value DESC, invoice, invoice_date, stock_code, description NULLS FIRST, quantity,
           unit_price, customer_id NULLS FIRST, country NULLS FIRST LIMIT 12"""
     ),
     "extreme_lines": over_retail(
-        f"""SELECT {LINE}, {money('line_value')} AS line_value, customer_id, country FROM analysis
+        f"""SELECT {LINE}, {amount('line_value')} AS line_value, customer_id, country FROM analysis
         WHERE analysis.line_value IS NOT NULL
         ORDER BY abs(analysis.line_value) DESC, invoice, invoice_date, stock_code, description NULLS FIRST, quantity,
           unit_price, analysis.line_value, customer_id NULLS FIRST, country NULLS FIRST LIMIT 15"""

@@ -106,4 +106,4 @@ EXTRACT_COLUMNS = list(EXTRACT_HEADERS.values())
 # Four decimals, because a price of 0.001 must stay above zero: rounding it away
 # would move the line out of the sales population.
 RETAIL_PRICE = "decimal(12,4)"
-MONEY = "decimal(18,2)"
+RETAIL_MONEY = "decimal(22,4)"
