@@ -16,7 +16,7 @@ from tillflow import schemas
 from tillflow.operators import (
     classify, gold, products, profile, reconcile, refresh, snapshot, upsert, validate, versions,
 )
-from tillflow.operators.retail import countries, customers, extracts, lines, negatives, quality, sales
+from tillflow.operators.retail import countries, customers, extracts, negatives, quality, sales
 from tillflow.operators.retail import products as retail_products
 from tillflow.plans import pipeline, report, views
 from tillflow.sources import scratch

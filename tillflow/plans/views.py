@@ -145,7 +145,8 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order rows as raw text in Bronze shape, with every kind of defect."""
     shifted = F.date_add(_order_date(), SHIFT_DAYS)
     iso = shifted.cast("string")
-    epoch = (F.datediff(shifted, F.lit("1970-01-01").cast("date")).cast("bigint") * 86400 + F.col("l_suppkey")).cast("string")
+    days = F.datediff(shifted, F.lit("1970-01-01").cast("date")).cast("bigint")
+    epoch = (days * 86400 + F.col("l_suppkey")).cast("string")
     order_date = (
         F.when(_every("l_orderkey", 5, 1), F.date_format(shifted, "MM/dd/yyyy"))
         .when(_every("l_orderkey", 5, 2), epoch)
@@ -212,7 +213,11 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("description"),
         F.when(_every("l_suppkey", 97), None).otherwise(_signed_quantity()).alias("quantity"),
         F.col("l_shipdate").cast("timestamp").alias("invoice_date"),
-        F.when(_every("l_suppkey", 25), zero).when(_every("l_suppkey", 41), -price).otherwise(price).cast(schemas.RETAIL_PRICE).alias("unit_price"),
+        F.when(_every("l_suppkey", 25), zero)
+        .when(_every("l_suppkey", 41), -price)
+        .otherwise(price)
+        .cast(schemas.RETAIL_PRICE)
+        .alias("unit_price"),
         F.when(_every("o_custkey", 4), None).otherwise(F.col("o_custkey")).alias("customer_id"),
         F.when((F.col("n_nationkey") == 3) & (F.col("l_linenumber") == 6), None).otherwise(F.col("n_name")).alias("country"),
         F.explode(F.sequence(F.lit(1), F.when(F.col("l_linenumber") == 7, 2).otherwise(1))).alias("copy"),

@@ -188,7 +188,9 @@ class RefreshQueue:
 
     def add(self, dates: DataFrame) -> None:
         entries = dates.select("order_date").filter(F.col("order_date").isNotNull()).distinct()
-        self._log.append(entries.select("order_date", F.current_timestamp().alias("queued_at"), F.lit(False).alias("cleared")))
+        self._log.append(
+            entries.select("order_date", F.current_timestamp().alias("queued_at"), F.lit(False).alias("cleared"))
+        )
 
     def clear(self, entries: DataFrame) -> None:
         self._log.append(entries.select("order_date", "queued_at", F.lit(True).alias("cleared")))
