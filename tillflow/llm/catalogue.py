@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import exact_dedup, mixing, sharding
+from tillflow.llm import exact_dedup, mixing, sentencepiece_codec, sharding
 from tillflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@query
+def op1_sentencepiece(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_codec.round_trip(documents(spark, sf_dir), model).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     rows = exact_dedup.exact_dedup(documents(spark, sf_dir))
