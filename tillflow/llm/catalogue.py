@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import exact_dedup, mixing, sentencepiece_codec, sharding
+from tillflow.llm import exact_dedup, mixing, sentencepiece_codec, sharding, token_counts
 from tillflow.llm.common import table
 
+# Fixed value: texts with more tokens are over the limit.
+TOKEN_LIMIT = 2048
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -56,6 +59,12 @@ def op5_sharding(spark, sf_dir):
     )
 
 
+@query
+def op6_token_counts(spark, sf_dir):
+    counts = token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return counts.withColumnRenamed("key", "doc_id").withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 @query
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(documents(spark, sf_dir)).documents
