@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import exact_dedup, mixing, sentencepiece_codec, sharding, token_counts
+from tillflow.llm import embedding_dedup, exact_dedup, language_id, mixing, sentencepiece_codec, sharding, token_counts
 from tillflow.llm.common import table
 
 # Fixed value: texts with more tokens are over the limit.
@@ -69,3 +69,34 @@ def op6_token_counts(spark, sf_dir):
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(documents(spark, sf_dir)).documents
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    return language_id.identify(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
+@query
+def op10_embedding_near_dedup(spark, sf_dir):
+    rows = embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return rows.withColumnRenamed("key", "vec_id")
+
+
+ORACLE["op10_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT e.vec_id, coalesce(any_value(n.n), 0) AS n_links, min(r.b) AS component_id, e.vec_id = min(r.b) AS kept
+FROM embeddings e JOIN reach r ON r.a = e.vec_id
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+GROUP BY e.vec_id
+"""
