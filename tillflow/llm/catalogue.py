@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import embedding_dedup, exact_dedup, language_id, mixing, sentencepiece_codec, sharding, token_counts
+from tillflow.llm import embedding_dedup, exact_dedup, language_id, mixing, ngram_join, sentencepiece_codec, sharding, token_counts
 from tillflow.llm.common import table
 
 # Fixed value: texts with more tokens are over the limit.
@@ -50,6 +50,11 @@ FROM documents
 """
 
 
+@query
+def op4_ngram_jaccard_join(spark, sf_dir):
+    return ngram_join.jaccard_components(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
+
+
 @query
 def op5_sharding(spark, sf_dir):
     rows = sharding.assign_shards(documents(spark, sf_dir))
