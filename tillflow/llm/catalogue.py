@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillflow.llm import embedding_dedup, exact_dedup, language_id, mixing, ngram_join, sentencepiece_codec, sharding, token_counts
+from tillflow.llm import (
+    embedding_dedup, exact_dedup, language_id, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
+)
 from tillflow.llm.common import table
 
 # Fixed value: texts with more tokens are over the limit.
@@ -50,6 +52,12 @@ FROM documents
 """
 
 
+@query
+def op3_quality_classifier(spark, sf_dir):
+    found = quality.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return found.select(F.col("key").alias("doc_id"), "lang", "trusted", "signs", "perplexity", "limit", "kept")
+
+
 @query
 def op4_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
