@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tillflow.llm import (
     embedding_dedup, exact_dedup, language_id, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
+    token_output,
 )
 from tillflow.llm.common import table
+from tillflow.sources import scratch
 
 # Fixed value: texts with more tokens are over the limit.
 TOKEN_LIMIT = 2048
@@ -84,6 +86,13 @@ def op7_mixing(spark, sf_dir):
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op8_token_output(spark, sf_dir):
+    path = scratch.new_dir(spark, "token-shards")
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return token_output.write(documents(spark, sf_dir), path, vocabulary, public_tokenizers.PATTERN)
+
+
 @query
 def op9_language_id(spark, sf_dir):
     return language_id.identify(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")

@@ -209,16 +209,19 @@ def mix(
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """`docs` as the mix has them: a row as often as the rounded number of times it is taken.
+    """`docs` as the mix has them: a row as often as it is taken.
 
-    A row's words divided by its size, rounded half up, give its copies; what is
-    not taken goes. Rows without words and rows with a null key stay once.
+    A row's taken words over its size are its copies; the fraction left is one
+    copy more with just that chance, by a hash of the key, so that sources keep
+    their targets. Rows without words and rows with a null key stay once; rows of
+    one key share their copies alike.
     """
     mixed = mix(docs.filter(F.col(key).isNotNull()), key, text, source).documents
-    # A key that is repeated has one row for each; the copies go to each of them alike.
+    chance = F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(1 << 30)) / (1 << 30)
     copies = mixed.groupBy("key").agg(
-        F.when(F.sum("size") == 0, 1).otherwise(F.floor(F.sum("taken") / F.sum("size") + F.lit(0.5))).alias("n")
-    )
+        F.when(F.sum("size") == 0, 1.0).otherwise(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times")
+    ).select("key", F.floor(F.col("times") + chance).cast("int").alias("copies"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     found = docs.select(F.col(key).alias("key"), row).join(copies, "key", "left")
-    return found.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("n"), F.lit(1)).cast("int")))).select("row.*")
+    each = F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("copies"), F.lit(1))))
+    return found.select("row", each.alias("copy")).select("row.*")

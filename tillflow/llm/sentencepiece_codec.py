@@ -21,6 +21,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillflow.llm.common import arrow_map, record_batch
 
@@ -256,14 +257,19 @@ def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
     return arrow_map(docs.select(F.col(key).cast("long"), F.col(text)), work, schema)
 
 
-def with_decoded(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """`docs` with its text encoded and decoded again; a null text stays null, all other columns stay as they are."""
-    at, schema = docs.columns.index(text), docs.schema
+def with_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """`docs` with its text as decoded from its ids, and the ids as a further column.
+
+    A null text stays null and has no ids. A column that has the name of the new one gives way to it.
+    """
+    docs = docs.drop(ids)
+    at, schema = docs.columns.index(text), T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def work(batch):
         own = codec(model)
-        texts = [None if t is None else own.decode(own.encode(t)) for t in batch.column(at).to_pylist()]
+        found = [own.encode(t) if t else [] for t in batch.column(at).to_pylist()]
+        texts = [None if t is None else own.decode(i) for t, i in zip(batch.column(at).to_pylist(), found)]
         columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
-        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        return pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, ids])
 
     return arrow_map(docs, work, schema)
