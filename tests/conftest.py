@@ -13,8 +13,8 @@ from tillflow.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    return local_session(8, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    return local_session(8, shuffle_partitions=4, scratch_dir=str(tmp_path_factory.mktemp("scratch")))
 
 
 @pytest.fixture

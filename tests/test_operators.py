@@ -154,22 +154,6 @@ def test_conformed_products_do_not_depend_on_row_order(spark):
         assert contents(products.conform_products(frame)) == [("P1", "b", "Kitchen", "1.00"), ("P2", "n", "None", "None")]
 
 
-def test_clear_keeps_a_date_queued_again_meanwhile(spark):
-    frame = lambda rows: spark.createDataFrame(rows, schemas.REFRESH_QUEUE)
-    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
-    left = refresh.clear_finished(frame([(d1, T1), (d2, T0)]), frame([(d1, T0), (d2, T0)])).collect()
-    assert [(r.order_date, r.queued_at) for r in left] == [(d1, T1)]
-
-
-def test_on_dates_gives_the_same_rows_by_literals_and_by_join(spark, monkeypatch):
-    days = [date(2024, 1, d) for d in (1, 2, 3)]
-    frame = spark.createDataFrame([(d, i) for i, d in enumerate(days * 2)], "d DATE, n INT")
-    wanted = spark.createDataFrame([(days[0],), (days[2],), (days[2],)], "order_date DATE")
-    by_literal = contents(refresh.on_dates(frame, "d", wanted))
-    monkeypatch.setattr(refresh, "MAX_LITERAL_DATES", 1)
-    assert contents(refresh.on_dates(frame, "d", wanted)) == by_literal and len(by_literal) == 4
-
-
 def test_gold_counts_distinct_orders_and_keeps_unknown_products(spark):
     rows = [("A", date(2024, 1, 1), "P1", "East", 1, Decimal("2.00")), ("A", date(2024, 1, 1), "P1", "East", 1, Decimal("3.01")), ("B", date(2024, 1, 1), "?", "East", 2, Decimal("4.00"))]
     orders = spark.createDataFrame(rows, "order_id STRING, order_date DATE, product_id STRING, region STRING, quantity INT, line_revenue DECIMAL(14,2)")

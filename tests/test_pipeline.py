@@ -55,14 +55,14 @@ def test_worked_cases(shop):
     shop.drop("2024-01-01")
     shop.run()
     shop.drop("2024-01-02")
-    shop.run()
+    shop.run(check_balance=True)
     assert shop.gold() == samples.expected_gold("A")
     assert sum(row[3] for row in shop.gold()) == Decimal("1744.13")
     bronze = pipeline.read_bronze(spark, layout)
     assert (bronze.count(), layout.orders.read(spark).count(), layout.quarantine.read(spark).count()) == (24, 21, 1)
 
     shop.drop("2024-01-03")
-    shop.run()
+    shop.run(check_balance=True)
     assert shop.gold() == samples.expected_gold("B")
     assert sum(row[3] for row in shop.gold()) == Decimal("2911.04")
     bronze = pipeline.read_bronze(spark, layout)
@@ -155,30 +155,48 @@ def test_product_changes_restate_history(shop):
     assert shop.layout.products.versions(shop.spark) == [1, 2]
 
 
-def test_a_batch_that_dies_while_swapping_is_finished_from_its_work_folder(shop, monkeypatch):
-    """The swap removes slices before it moves new ones in; a retry must not read what is left."""
+def test_a_batch_that_dies_before_the_switch_is_finished_from_its_work_folder(shop, monkeypatch):
     spark, layout = shop.spark, shop.layout
     shop.drop("2024-01-01")
     shop.run()
+    before = shop.silver()
     shop.drop("2024-01-02")
     publish = tables.SlicedTable.publish
 
-    def torn(self, session, path):
+    def torn(self, *arguments):
         if self.slice_column == "_slice":
-            tables.discard(session, f"{self.path}/_slice=2024-01-01")
             raise OSError("lost the driver")
-        publish(self, session, path)
+        publish(self, *arguments)
 
     with monkeypatch.context() as patched:
         patched.setattr(tables.SlicedTable, "publish", torn)
         with pytest.raises(Exception, match="lost the driver"):
             shop.run()
-    assert layout.queue.pending(spark).count() == 2
+    assert layout.queue.pending(spark).count() == 2 and shop.silver() == before
     shop.run()
     assert shop.gold() == samples.expected_gold("A")
     assert layout.quarantine.read(spark).count() == 1
 
 
+def test_a_batch_that_dies_after_the_switch_is_audited_once(shop, monkeypatch):
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01")
+    discard = tables.discard
+
+    def torn(session, path):
+        if "/batch=" in path:
+            raise OSError("lost the driver")
+        discard(session, path)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "discard", torn)
+        with pytest.raises(Exception, match="lost the driver"):
+            shop.run()
+    shop.run()
+    audit = layout.audit.read(spark).filter("stage = 'silver'").collect()
+    assert [(row.rows_in, row.rows_parsed, row.rows_valid, row.rows_loaded, row.dates_affected) for row in audit] == [(12, 12, 12, 12, 1)]
+
+
 def test_a_failed_check_publishes_nothing_and_keeps_the_queue(shop, monkeypatch):
     spark, layout = shop.spark, shop.layout
     shop.drop("2024-01-01")
@@ -203,13 +221,20 @@ def test_a_failed_check_publishes_nothing_and_keeps_the_queue(shop, monkeypatch)
     assert shop.gold() == samples.expected_gold("A") and layout.queue.pending(spark).count() == 0
 
 
-def test_gold_rebuilds_in_chunks(shop, monkeypatch):
-    monkeypatch.setattr(pipeline, "DATES_PER_REBUILD", 1)
-    for day in samples.DAYS:
-        shop.drop(day)
-    shop.run()
-    assert shop.gold() == samples.expected_gold("B")
-    assert shop.layout.audit.read(shop.spark).filter("stage = 'gold'").count() == 1
+def test_an_order_on_two_far_dates_is_refused_whole(shop):
+    """All queued dates are checked before any is published, however many there are."""
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01", "\n".join(f"O{n},{date.fromordinal(738000 + n)},C1,P001,1,2.00,East" for n in range(1500)))
+    pipeline.ingest_orders(spark, layout, str(shop.inbox))
+    pipeline.refresh_products(spark, layout, shop.products)
+    run_silver(spark, layout.bronze_orders, layout.silver, layout.checkpoint("silver_orders"), "t")
+    double = layout.orders.read(spark).filter("order_id = 'O3'").withColumn("_slice", F.lit(date.fromordinal(739499)))
+    double = double.withColumn("order_date", F.col("_slice"))
+    layout.orders.stage(double, "double")
+    layout.orders.publish(spark, "double", double.select("_slice"))
+    with pytest.raises(validate.ValidationError, match="repeats order ids"):
+        pipeline.refresh_gold(spark, layout, "t")
+    assert shop.gold() == [] and layout.queue.pending(spark).count() == 1500
 
 
 def test_a_batch_of_rejects_only(shop):

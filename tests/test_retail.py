@@ -63,12 +63,12 @@ def money(amount) -> Decimal:
 
 
 @pytest.fixture(scope="module")
-def world(spark):
+def world(spark, tmp_path_factory):
     rows = random_lines(3)
     frames, old, new = two_extracts(spark, rows)
     start = min(r[4] for r in new)
     kept = [r[:8] for r in old if r[4] < start] + [r[:8] for r in new]
-    cleaned = report.clean_once(spark, frames)
+    cleaned = report.clean_once(spark, frames, str(tmp_path_factory.mktemp("ledger") / "l"))
     return {"old": old, "new": new, "start": start, "kept": kept, "lines": list(set(kept)), "frames": frames,
             "ledger": cleaned.ledger, "analysis": cleaned.analysis}
 
@@ -95,7 +95,7 @@ def test_cleaning_steps(world):
     assert impact.dedup_sales_impact == pytest.approx(float((before - after) / before), abs=1e-6)
 
 
-def test_overlap_must_be_copies_with_repeats_counted(spark):
+def test_overlap_must_be_copies_with_repeats_counted(spark, root):
     rows = random_lines(5, 60)
     frames, old, new = two_extracts(spark, rows)
     inside = next(r for r in new if r[4] <= max(o[4] for o in old))
@@ -106,7 +106,7 @@ def test_overlap_must_be_copies_with_repeats_counted(spark):
     with pytest.raises(extracts.OverlapMismatch):
         extracts.resolve_overlap(pair)
     with pytest.raises(extracts.OverlapMismatch):
-        report.clean_once(spark, [again, frames[1]])
+        report.clean_once(spark, [again, frames[1]], f"{root}/l")
 
 
 def test_extracts_that_do_not_overlap_are_joined_whole(spark):

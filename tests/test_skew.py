@@ -111,9 +111,9 @@ def test_hot_date_slice_is_written_by_several_tasks(spark, orders, root):
         "_slice", F.when(F.hash("order_id") % 3 == 0, F.lit("2024-02-01").cast("date")).otherwise(F.col("order_date")))
     slices = rows.select("_slice").distinct()
     with tight(spark), settings(spark, spark__sql__adaptive__coalescePartitions__enabled="true"):
-        table.stage(rows, slices, f"{root}/w")
-        table.publish(spark, f"{root}/w")
-    assert len(list(Path(root, "w", "_slice=2024-02-01").glob("*.parquet"))) > 3
+        table.stage(rows, "w")
+        table.publish(spark, "w", slices)
+    assert len(list(Path(root, "s", "data", "_folder=w", "_slice=2024-02-01").glob("*.parquet"))) > 3
     assert table.read(spark).count() == ROWS
     assert table.read(spark).select("_slice").distinct().count() == 6
 

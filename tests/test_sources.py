@@ -15,6 +15,7 @@ from tillflow.plans import pipeline
 from tillflow.plans.pipeline import Layout
 from tillflow.sources import scratch, tables
 from tillflow.sources.extracts import read_extracts
+from tillflow.sources.orders import surplus_line
 from tillflow.sources.products import read_product_file
 
 GOOD = "O1,2024-01-01,C1,P1,1,2.00,East"
@@ -117,12 +118,62 @@ def test_publishing_replaces_named_slices_only_and_can_be_repeated(spark, root):
         F.col("order_date").cast("date"), F.col("queued_at").cast("timestamp"))
     days = lambda *names: spark.createDataFrame([(n,) for n in names], "d STRING").select(F.col("d").cast("date"))
     assert table.read(spark).isEmpty()
-    table.stage(rows([("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-01")]), days("2024-01-01", "2024-01-02"), f"{root}/w1")
-    table.publish(spark, f"{root}/w1")
-    table.stage(rows([("2024-01-03", "2024-01-01")]), days("2024-01-01", "2024-01-03"), f"{root}/w2")
-    for _ in range(2):
-        table.publish(spark, f"{root}/w2")
+    table.stage(rows([("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-01")]), "w1")
+    assert table.read(spark).isEmpty()
+    table.publish(spark, "w1", days("2024-01-01", "2024-01-02"))
+    table.stage(rows([("2024-01-03", "2024-01-01")]), "w2")
+    open_before = table.read(spark)
+    for k in range(2):
+        table.publish(spark, "w2", days("2024-01-01", "2024-01-03"))
         assert sorted(r.order_date.day for r in table.read(spark).collect()) == [2, 3]
+        # A reader that was opened before the switch sees the state before it.
+        assert k or sorted(r.order_date.day for r in open_before.collect()) == [1, 2]
+    table.stage(rows([("2024-01-02", "2024-01-01")]), "w3")
+    for folder in ("w3", "w3", "w3"):
+        table.publish(spark, folder, days("2024-01-02"))
+    assert tables.child_names(spark, f"{root}/g/data").count("_folder=w1") == 0
+
+
+def test_folders_are_pruned_by_slice(spark, root):
+    table = tables.SlicedTable(f"{root}/g", schemas.REFRESH_QUEUE, "order_date")
+    days = spark.range(40).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("order_date"))
+    table.stage(days.withColumn("queued_at", F.current_timestamp()), "w")
+    table.publish(spark, "w", days)
+    days.limit(3).write.parquet(f"{root}/some")
+    some = table.read(spark, spark.read.parquet(f"{root}/some"))
+    assert some.count() == 3 and "dynamicpruning" in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_entry_queued_by_a_slower_clock_stays(spark, root):
+    queue = tables.RefreshQueue(f"{root}/q")
+    entry = lambda t: spark.createDataFrame([("2024-01-01", f"2024-01-01 10:00:0{t}")], "order_date STRING, queued_at STRING").select(
+        F.col("order_date").cast("date"), F.col("queued_at").cast("timestamp"))
+    assert queue.pending(spark).isEmpty()
+    queue.add(entry(5))
+    queue.clear(queue.entries(spark))
+    queue.add(entry(3))
+    assert queue.pending(spark).count() == 1
+    for _ in range(3):
+        queue.compact(spark)
+    assert queue.pending(spark).first().queued_at.second == 3
+    assert len([n for n in tables.child_names(spark, f"{root}/q") if n.startswith("log=")]) == 2
+    queue.clear(queue.entries(spark))
+    assert queue.pending(spark).isEmpty()
+
+
+@pytest.mark.parametrize("blanks", [1, 16, 17, 500])
+def test_empty_fields_are_no_drift_however_many(spark, blanks):
+    lines = [GOOD + "," * blanks, GOOD + "," * blanks + "X", GOOD + ',"  "' * blanks, GOOD]
+    frame = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i INT, line STRING")
+    kept = frame.filter(surplus_line(F.col("line")).isNotNull()).select("i").collect()
+    assert [row.i for row in kept] == [1]
+
+
+def test_extract_with_fractional_quantities_is_refused(spark, root):
+    path = Path(root) / "a.csv"
+    path.write_text(EXTRACT.replace("C3,21,A,2.0", "C3,21,A,2.5"))
+    with pytest.raises(ValueError, match="1 rows with a fractional"):
+        read_extracts(spark, {"Year 1": str(path)})
 
 
 def test_scratch_follows_the_session(spark):

@@ -24,6 +24,12 @@ def whole_number(raw: Column, sql_type: str) -> Column:
     return F.when(value == F.floor(value), value.try_cast(sql_type))
 
 
+def is_fraction(raw: Column) -> Column:
+    """A number that is not whole."""
+    value = number(raw, "decimal(28,6)")
+    return is_true(value != F.floor(value))
+
+
 def moment(raw: Column) -> Column:
     return F.try_to_timestamp(clean_text(raw))
 

@@ -44,15 +44,6 @@ def daily_sales(orders: DataFrame, products: DataFrame, unique_orders: bool = Fa
     )
 
 
-def splice(current: DataFrame, rebuilt: DataFrame, dates: DataFrame) -> DataFrame:
-    """`current` with every row on the given dates replaced by `rebuilt`.
-
-    A date with no rebuilt row ends up empty rather than keeping its old rows.
-    """
-    kept = current.join(dates.select("order_date"), "order_date", "left_anti")
-    return kept.unionByName(rebuilt)
-
-
 def sales_report(gold: DataFrame) -> DataFrame:
     columns = [*CELL, "net_revenue", "order_count", "units_sold", "aov"]
     return gold.select(*columns).orderBy(*CELL)

@@ -72,9 +72,10 @@ def pair_extracts(extracts: list[DataFrame]) -> ExtractPair:
     """
     if len(extracts) != 2:
         raise ValueError(f"expected two extracts, found {len(extracts)}")
-    first, last = F.unix_micros(F.min("invoice_date")), F.unix_micros(F.max("invoice_date"))
-    bounds = [extract.agg(first.alias("start"), last.alias("end")).first() for extract in extracts]
-    if any(bound.start is None for bound in bounds):
+    moment = F.unix_micros("invoice_date")
+    both = reduce(DataFrame.union, [e.select(F.lit(i).alias("i"), moment.alias("t")) for i, e in enumerate(extracts)])
+    bounds = {row.i: row for row in both.groupBy("i").agg(F.min("t").alias("start"), F.max("t").alias("end")).collect()}
+    if any(i not in bounds or bounds[i].start is None for i in range(2)):
         raise ValueError("an extract holds no dated rows")
     old, new = sorted(range(2), key=lambda i: bounds[i].start)
     return ExtractPair(extracts[old], extracts[new], bounds[new].start, bounds[old].end)

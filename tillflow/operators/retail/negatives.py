@@ -23,7 +23,7 @@ def negative_breakdown(analysis: DataFrame) -> DataFrame:
         negative_lines(analysis)
         .withColumn("code_group", F.when(F.col("is_product_like_code"), PRODUCT_LIKE).otherwise(ADMINISTRATIVE))
         .groupBy("code_group")
-        .agg(F.sum("negative_value").cast(RETAIL_MONEY).alias("negative_value"), F.count("invoice").alias("row_count"))
+        .agg(F.sum("negative_value").cast(RETAIL_MONEY).alias("negative_value"), F.count("*").alias("row_count"))
     )
     total = negative_lines(analysis).agg(F.sum("negative_value")).scalar()
     return grouped.withColumn("negative_value_share", share(F.col("negative_value"), total))

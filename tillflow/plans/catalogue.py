@@ -6,6 +6,7 @@ time or a generated file name are left out, since no second run repeats them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -19,7 +20,7 @@ from tillflow.operators import (
 from tillflow.operators.retail import countries, customers, extracts, negatives, quality, sales
 from tillflow.operators.retail import products as retail_products
 from tillflow.plans import pipeline, report, views
-from tillflow.sources import scratch
+from tillflow.sources import scratch, tables
 from tillflow.streaming.silver import run_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +54,7 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> report.Cleaned:
-    return report.clean(views.retail_extracts(spark, sf_dir))
+    return report.Cleaned(views.retail_ledger(spark, sf_dir))
 
 
 def _analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,17 +104,27 @@ def _queue(orders: DataFrame) -> DataFrame:
     return orders.groupBy("order_date").agg(F.max("_source_batch_date").alias("queued_at"))
 
 
+def _pending(queue: tables.RefreshQueue, spark: SparkSession) -> DataFrame:
+    return queue.pending(spark).withColumn("queued_at", F.col("queued_at").cast("date"))
+
+
 @query
 def queue_upsert(spark, sf_dir):
-    typed = views.sales_lines(spark, sf_dir)
-    held, incoming = _queue(typed.filter("quantity >= 0")), _queue(typed.filter("quantity < 0"))
-    return upsert.upsert_stamp(held, incoming, "order_date", "queued_at")
+    """Dates queued twice, under stamps of their own: each once, with the later one."""
+    typed, queue = views.sales_lines(spark, sf_dir), tables.RefreshQueue(scratch.new_dir(spark, "queue"))
+    for part in ("quantity >= 0", "quantity < 0"):
+        queue.add(_queue(typed.filter(part)))
+    return _pending(queue, spark)
 
 
 @query
 def queue_clear(spark, sf_dir):
-    typed = views.sales_lines(spark, sf_dir)
-    return refresh.clear_finished(_queue(typed), _queue(typed.filter("quantity >= 0")))
+    """Entries that were worked off go, by date and stamp, also when the log is compacted in between."""
+    typed, queue = views.sales_lines(spark, sf_dir), tables.RefreshQueue(scratch.new_dir(spark, "queue"))
+    queue.add(_queue(typed))
+    queue.compact(spark)
+    queue.clear(_queue(typed.filter("quantity >= 0")))
+    return _pending(queue, spark)
 
 
 @query
@@ -153,14 +164,36 @@ def gold_report(spark, sf_dir):
     return gold.sales_report(gold.daily_sales(_silver(spark, sf_dir), views.products(spark, sf_dir)))
 
 
+def _stored_gold(spark: SparkSession, sf_dir: str) -> pipeline.Layout:
+    """Gold of the held orders, by the pipeline's own steps: stage, gate, publish, verify, clear."""
+    layout = pipeline.Layout(scratch.new_dir(spark, "gold"), slice_unit="year")
+    layout.products.replace(views.products(spark, sf_dir).withColumn("_ingested_at", F.current_timestamp()))
+    _replace_orders(spark, layout, views.landed(spark, sf_dir, "held_orders"))
+    layout.queue.add(layout.orders.read(spark).select("order_date"))
+    pipeline.refresh_gold(spark, layout, "query")
+    return layout
+
+
+def _replace_orders(spark: SparkSession, layout: pipeline.Layout, orders: DataFrame) -> None:
+    folder = uuid.uuid4().hex
+    layout.orders.stage(layout.silver.with_slice(orders), folder)
+    layout.orders.publish(spark, folder, layout.orders.staged(spark, folder).select("_slice").distinct())
+
+
+@query
+def gold_pipeline(spark, sf_dir):
+    return _stored_gold(spark, sf_dir).gold.read(spark).drop("_refreshed_at")
+
+
 @query
 def incremental_gold(spark, sf_dir):
-    """Rebuild only what a batch touched; the oracle recomputes everything."""
+    """Stored Gold, of which only the dates that a batch touched are rebuilt; the oracle recomputes everything."""
+    layout = _stored_gold(spark, sf_dir)
     held, incoming = _held_and_incoming(spark, sf_dir)
-    reference = views.products(spark, sf_dir)
-    stale = refresh.affected_dates(held, incoming)
-    stale_orders = upsert.upsert_orders(held, incoming).join(stale, "order_date", "left_semi")
-    return gold.splice(gold.daily_sales(held, reference), gold.daily_sales(stale_orders, reference), stale)
+    layout.queue.add(refresh.affected_dates(held, incoming))
+    _replace_orders(spark, layout, upsert.upsert_orders(held, incoming))
+    pipeline.refresh_gold(spark, layout, "query")
+    return layout.gold.read(spark).drop("_refreshed_at")
 
 
 # --- streams ---------------------------------------------------------------
@@ -198,7 +231,7 @@ def stream_silver(spark, sf_dir):
     """Bronze to Silver in several micro-batches, then the same rows once more."""
     layout = pipeline.Layout(scratch.new_dir(spark, "silver"), slice_unit="year")
     bronze = views.landed_path(spark, sf_dir, "bronze_orders")
-    half = -(-len(spark.read.parquet(bronze).inputFiles()) // 2)
+    half = -(-sum(n.startswith("part-") for n in tables.child_names(spark, bronze)) // 2)
     for rebuild in (False, True):
         run_silver(
             spark, bronze, layout.silver, layout.checkpoint("silver"), "query",
@@ -297,17 +330,7 @@ def tie_out(spark, sf_dir):
 
 @query
 def run_audit(spark, sf_dir):
-    found = pipeline_totals(spark, sf_dir).first()
-    return reconcile.audit_row(
-        spark,
-        run_id="query",
-        stage="gold",
-        rows_in=found.rows_in,
-        rows_loaded=found.loaded,
-        rows_quarantined=found.quarantined,
-        net_revenue=found.net_revenue,
-        notes="totals of one run",
-    ).drop("run_ts")
+    return reconcile.audit_row("query", "gold", pipeline_totals(spark, sf_dir), "totals of one run").drop("run_ts")
 
 
 def _gold_before_and_after(spark, sf_dir):

@@ -58,12 +58,12 @@ incoming AS (
   FROM sized WHERE p_size >= 5
 ),
 changed AS (
-  SELECT DISTINCT coalesce(n.product_id, o.product_id) AS product_id
-  FROM incoming n FULL OUTER JOIN existing o ON n.product_id = o.product_id
-  WHERE n.product_id IS NULL OR o.product_id IS NULL
-    OR n.product_name IS DISTINCT FROM o.product_name
-    OR n.category IS DISTINCT FROM o.category
-    OR n.list_price IS DISTINCT FROM o.list_price
+  SELECT DISTINCT product_id FROM (
+    (SELECT product_id, product_name, category, list_price FROM incoming
+     EXCEPT ALL SELECT product_id, product_name, category, list_price FROM existing)
+    UNION ALL
+    (SELECT product_id, product_name, category, list_price FROM existing
+     EXCEPT ALL SELECT product_id, product_name, category, list_price FROM incoming))
 )"""
 
 MESSY = """
@@ -422,6 +422,7 @@ ORACLE: dict[str, str] = {
     "gold_report": over_messy(
         "SELECT * FROM cells ORDER BY order_date, category, region", PRODUCTS, SILVER, cells("cells", "silver")
     ),
+    "gold_pipeline": over_sales("SELECT * FROM cells", PRODUCTS, HELD, cells("cells", "held")),
     "incremental_gold": over_sales(
         "SELECT * FROM cells", PRODUCTS, HELD, INCOMING, UPSERTED, cells("cells", "upserted")
     ),
@@ -488,7 +489,9 @@ ORACLE: dict[str, str] = {
     ),
     "run_audit": over_messy(
         f"""SELECT 'query' AS run_id, 'gold' AS stage, rows_in, loaded AS rows_loaded, quarantined AS rows_quarantined,
-        net_revenue, 'totals of one run' AS notes FROM ({TOTALS})""",
+        net_revenue, 'totals of one run' AS notes, CAST(NULL AS BIGINT) AS rows_parsed, CAST(NULL AS BIGINT) AS rows_valid,
+        CAST(NULL AS BIGINT) AS dates_affected, CAST(NULL AS BIGINT) AS dates_queued, CAST(NULL AS VARCHAR) AS batch
+        FROM ({TOTALS})""",
         PRODUCTS, SILVER, cells("cells", "silver"),
     ),
     "snapshot_diff": over_sales(
@@ -575,7 +578,7 @@ ORACLE: dict[str, str] = {
         PRODUCT_SALES, DESCRIPTIONS,
     ),
     "negative_breakdown": over_retail(
-        f"""SELECT code_group, {amount('sum(negative_value)')} AS negative_value, count(invoice) AS row_count,
+        f"""SELECT code_group, {amount('sum(negative_value)')} AS negative_value, count(*) AS row_count,
           {share(amount('sum(negative_value)'), '(SELECT sum(negative_value) FROM negative)')} AS negative_value_share
         FROM (SELECT *, CASE WHEN is_product_like_code THEN 'Product-like stock code'
             ELSE 'Non-product-like / administrative code' END AS code_group FROM negative) GROUP BY code_group"""

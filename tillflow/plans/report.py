@@ -8,35 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.operators.retail import countries, customers, extracts, lines, negatives, products, quality, sales
-from tillflow.sources import scratch
+from tillflow.sources import scratch, tables
 from tillflow.sources.extracts import read_extracts
 
 
 @dataclass(frozen=True)
 class Cleaned:
-    """The row ledger of two extracts, and the flagged lines it leaves."""
+    """The stored and proved row ledger of two extracts; every metric starts from it."""
 
     ledger: DataFrame
-    analysis: DataFrame
 
+    @property
+    def analysis(self) -> DataFrame:
+        """The flagged lines that the ledger leaves."""
+        return lines.with_line_flags(extracts.distinct_lines(self.ledger))
 
-def clean(extract_frames: list[DataFrame]) -> Cleaned:
-    """The lazy cleaning plan; only the date bounds are read at once."""
-    ledger = extracts.row_ledger(extracts.pair_extracts(extract_frames))
-    return Cleaned(ledger, lines.with_line_flags(extracts.distinct_lines(ledger)))
 
-
-def clean_once(spark: SparkSession, extract_frames: list[DataFrame]) -> Cleaned:
-    """Clean, prove the overlap exact, and keep the ledger as a table.
-
-    Every metric reads the ledger, so it is written to shared scratch once
-    rather than worked out some twenty times.
-    """
-    folder = scratch.new_dir(spark, "ledger")
-    clean(extract_frames).ledger.write.parquet(folder)
+def clean_once(spark: SparkSession, extract_frames: list[DataFrame], folder: str) -> Cleaned:
+    """Store the ledger in `folder` and prove the overlap exact; nothing is worked out from extracts that differ."""
+    extracts.row_ledger(extracts.pair_extracts(extract_frames)).write.parquet(folder)
     ledger = spark.read.parquet(folder)
     extracts.require_exact_copy(ledger)
-    return Cleaned(ledger, lines.with_line_flags(extracts.distinct_lines(ledger)))
+    return Cleaned(ledger)
 
 
 def metric_frames(cleaned: Cleaned) -> dict[str, DataFrame]:
@@ -70,6 +63,11 @@ def metric_frames(cleaned: Cleaned) -> dict[str, DataFrame]:
 def run_report(spark: SparkSession, paths: dict[str, str], out: str) -> None:
     """Read two exported sheets and write every metric frame below `out`."""
     frames = read_extracts(spark, paths)
-    extracts.extract_summary(frames).write.mode("overwrite").parquet(f"{out}/extract_summary")
-    for name, frame in metric_frames(clean_once(spark, frames)).items():
-        frame.write.mode("overwrite").parquet(f"{out}/{name}")
+    folder = scratch.new_dir(spark, "ledger")
+    try:
+        cleaned = clean_once(spark, frames, folder)
+        extracts.extract_summary(frames).write.mode("overwrite").parquet(f"{out}/extract_summary")
+        for name, frame in metric_frames(cleaned).items():
+            frame.write.mode("overwrite").parquet(f"{out}/{name}")
+    finally:
+        tables.discard(spark, folder)

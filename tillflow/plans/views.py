@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillflow import schemas
 from tillflow.operators import classify, versions
+from tillflow.operators.retail import extracts
 from tillflow.sources import scratch, tables
 
 # Star-schema dates lie before the ten-digit epochs; messy dates move past them.
@@ -240,6 +241,10 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.latest_version(classify.valid_rows(classify.classify(bronze)))
 
 
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracts.row_ledger(extracts.pair_extracts(retail_extracts(spark, sf_dir)))
+
+
 # Views that stand for stored tables: raw files, extracts, and the Silver layer
 # that balances and reports read. Each is written once per session.
 LANDINGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -248,7 +253,10 @@ LANDINGS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "held_orders": held_orders,
     "incoming_orders": incoming_orders,
     "retail_lines": retail_lines,
+    "retail_ledger": _ledger,
 }
+# What a stored view has to prove before anything reads it.
+PROOFS = {"retail_ledger": extracts.require_exact_copy}
 _LANDED: dict[tuple[str, str, str], str] = {}
 _LANDING = RLock()
 
@@ -260,6 +268,8 @@ def landed_path(spark: SparkSession, sf_dir: str, name: str) -> str:
         if key not in _LANDED or not tables.is_complete(spark, _LANDED[key]):
             folder = scratch.new_dir(spark, name)
             LANDINGS[name](spark, sf_dir).write.parquet(folder)
+            if name in PROOFS:
+                PROOFS[name](spark.read.parquet(folder))
             _LANDED[key] = folder
     return _LANDED[key]
 
@@ -268,6 +278,11 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(landed_path(spark, sf_dir, name))
 
 
+def retail_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of the two extracts, stored once and proved when it is."""
+    return landed(spark, sf_dir, "retail_ledger")
+
+
 def retail_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Two extracts that overlap in time."""
     lines = landed(spark, sf_dir, "retail_lines")

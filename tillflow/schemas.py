@@ -12,6 +12,7 @@ def _struct(**fields: str) -> T.StructType:
     return schema
 
 
+# Fixed values from here on: names, types and keys of the table contracts.
 # The order file contract: every field arrives, and is kept, as text.
 ORDER_FIELDS = ["order_id", "order_date", "customer_id", "product_id", "quantity", "unit_price", "region"]
 ORDER_FILE = _struct(**dict.fromkeys(ORDER_FIELDS, "string"))
@@ -79,6 +80,16 @@ GOLD_DAILY_SALES = _struct(
     _refreshed_at="timestamp",
 )
 
+# What a Silver batch counts.
+AUDIT_COUNTS = _struct(
+    rows_in="long",
+    rows_parsed="long",
+    rows_valid="long",
+    rows_loaded="long",
+    rows_quarantined="long",
+    net_revenue="decimal(18,2)",
+    dates_affected="long",
+)
 RUN_AUDIT = _struct(
     run_id="string",
     run_ts="timestamp",
@@ -88,6 +99,11 @@ RUN_AUDIT = _struct(
     rows_quarantined="long",
     net_revenue="decimal(18,2)",
     notes="string",
+    rows_parsed="long",
+    rows_valid="long",
+    dates_affected="long",
+    dates_queued="long",
+    batch="string",
 )
 
 # Retail extract: source header -> column name.

@@ -22,9 +22,9 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A single-machine session for tests and the bench."""
-    spark = (
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, scratch_dir: str | None = None) -> SparkSession:
+    """A single-machine session for tests and the bench; `scratch_dir` holds intermediate tables."""
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tillflow")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -32,7 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         # Small test files are worth splitting: the default would read them in one or two tasks.
         .config("spark.sql.files.openCostInBytes", str(512 * 1024))
-        .getOrCreate()
     )
+    spark = (builder.config("spark.checkpoint.dir", scratch_dir) if scratch_dir else builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

@@ -14,6 +14,10 @@ def standardise(raw: DataFrame, sheet: str) -> DataFrame:
     missing = set(schemas.EXTRACT_HEADERS) - set(raw.columns)
     if missing:
         raise ValueError(f"extract '{sheet}' is missing columns: {sorted(missing)}")
+    # A fraction of a piece is no quantity this ledger can hold; leaving it out would lose a sale.
+    fractions = raw.agg(F.count_if(retail.is_fraction(F.col("Quantity")))).first()[0]
+    if fractions:
+        raise ValueError(f"extract '{sheet}' has {fractions} rows with a fractional quantity")
     named = raw.select(*[F.col(f"`{header}`").alias(name) for header, name in schemas.EXTRACT_HEADERS.items()])
     typed = {
         "quantity": retail.whole_number(F.col("quantity"), "int"),

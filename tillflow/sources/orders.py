@@ -8,24 +8,18 @@ from pyspark.sql import types as T
 
 from tillflow import schemas
 
-# Fields read past the contract when an overlong line is parsed again.
-SPARE_FIELDS = 16
-COMMA_OUTSIDE_QUOTES = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A field is plain or quoted text; what follows the last declared one is drift if it holds any sign
+# but commas, quotes and blanks. All repeats are possessive, so a line is read once, however long.
+SURPLUS = '^(?:(?:[^",]++|"[^"]*+")*+,){%d}[,"\\s]*+[^,"\\s]' % len(schemas.ORDER_FIELDS)
 
 
 def surplus_line(line: Column) -> Column:
     """The line, if it carries a value past the declared fields; else null.
 
     Spark marks a line that is too short as malformed as well as one that is too
-    long. Only the second is drift, so the marked line is read once more with
-    room for further fields, and one more line-wide count covers longer rows.
+    long; only the second is drift.
     """
-    spare = [f"_spare{i}" for i in range(SPARE_FIELDS)]
-    wide = [*schemas.ORDER_FILE.names, *spare]
-    parsed = F.from_csv(line, ", ".join(f"{name} STRING" for name in wide))
-    has_value = F.coalesce(*[parsed[name] for name in spare]).isNotNull()
-    longer_still = F.size(F.split(line, COMMA_OUTSIDE_QUOTES)) > len(wide)
-    return F.when(has_value | longer_still, line)
+    return F.when(line.rlike(SURPLUS), line)
 
 
 def read_order_files(

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -13,14 +15,16 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    A machine-local folder stands in only on a single machine.
+    Where it names none, a folder of this application in the warehouse, which all
+    executors share as well; on a single machine it goes when the process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tillflow-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch-{context.applicationId}"
+        place = urlparse(folder)
+        if context.master.startswith("local") and place.scheme in ("", "file"):
+            atexit.register(shutil.rmtree, place.path, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from tillflow import schemas
 
 
+# No date lies before it: a filter that every date passes.
+FIRST_DATE = "0001-01-01"
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
@@ -84,6 +88,11 @@ class SnapshotTable:
             raise ValueError(f"{self.path} has no version {chosen}; it has {versions}")
         return spark.read.schema(self.schema).parquet(self._folder(chosen))
 
+    def forget(self, spark: SparkSession, keep: int) -> None:
+        """Remove all but the last `keep` states."""
+        for version in self.versions(spark)[:-keep]:
+            discard(spark, self._folder(version))
+
     def replace(self, frame: DataFrame) -> int:
         spark = frame.sparkSession
         version = max(self.versions(spark), default=0) + 1
@@ -99,9 +108,10 @@ class SnapshotTable:
 class SlicedTable:
     """A table partitioned by a date, of which single slices are replaced.
 
-    Spark swaps the partitions a write contains and leaves the others. A slice
-    that becomes empty would be left too, so every replacement carries one
-    marker row per slice, which readers never see.
+    Every replacement writes its slices once, into a folder of its own, and then
+    switches a small table of (slice, folder) to them. The switch is one commit of
+    that table: a reader sees all of a replacement or none of it. A slice that
+    becomes empty loses its entry, so its rows are gone without being rewritten.
     """
 
     path: str
@@ -110,87 +120,124 @@ class SlicedTable:
     sort_columns: tuple[str, ...] = ()
 
     @property
-    def stored_schema(self) -> T.StructType:
-        stored = T.StructType([f for f in self.schema if f.name != self.slice_column])
-        stored = stored.add("_deleted", "boolean")
-        return stored.add(self.slice_column, "date")
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """All rows, with the slice column."""
-        if not exists(spark, self.path):
-            empty = T.StructType([f for f in self.stored_schema if f.name != "_deleted"])
-            return spark.createDataFrame([], empty)
-        return self._visible(self._stored(spark, self.path))
+    def _places(self) -> SnapshotTable:
+        return SnapshotTable(f"{self.path}/places", T.StructType().add(self.slice_column, "date").add("_folder", "string"))
 
-    def stage(self, rows: DataFrame, slices: DataFrame, path: str) -> None:
-        """Write a replacement for the given slices, with its markers, off to the side.
+    @property
+    def _data(self) -> str:
+        return f"{self.path}/data"
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        columns = [f for f in self.schema if f.name != self.slice_column]
+        stored = T.StructType(columns).add("_folder", "string").add(self.slice_column, "date")
+        return spark.read.schema(stored).parquet(self._data)
+
+    def _at(self, spark: SparkSession, places: DataFrame) -> DataFrame:
+        # The comparison holds for every date. It makes the few places a filter that prunes the folders.
+        wanted = places.filter(F.col(self.slice_column) >= F.lit(FIRST_DATE).cast("date"))
+        return self._stored(spark).join(wanted, ["_folder", self.slice_column], "left_semi").drop("_folder")
+
+    def read(self, spark: SparkSession, slices: DataFrame | None = None) -> DataFrame:
+        """All rows, with the slice column, or those of `slices`: a stored frame of one column of dates."""
+        places = self._places.read(spark)
+        if not self._places.versions(spark) or not exists(spark, self._data):
+            kept = [f for f in self.schema if f.name != self.slice_column]
+            return spark.createDataFrame([], T.StructType(kept).add(self.slice_column, "date"))
+        if slices is not None:
+            places = places.join(slices.toDF(self.slice_column), self.slice_column, "left_semi")
+        return self._at(spark, places)
+
+    def stage(self, rows: DataFrame, folder: str) -> None:
+        """Write the new content of slices, unseen by readers. Staging a folder again replaces what it held.
 
         Rebalancing gathers a slice into few files, and splits a slice that is
         too large for one task.
         """
-        marked = rows.withColumn("_deleted", F.lit(False)).unionByName(
-            slices.select(F.col(slices.columns[0]).alias(self.slice_column)).withColumn("_deleted", F.lit(True)),
-            allowMissingColumns=True,
-        )
+        stored = T.StructType([f for f in self.schema if f.name != self.slice_column]).add(self.slice_column, "date")
         (
-            conform(marked, self.stored_schema)
+            conform(rows, stored)
             .hint("rebalance", self.slice_column)
             .sortWithinPartitions(self.slice_column, *self.sort_columns)
             .write.mode("overwrite")
             .partitionBy(self.slice_column)
-            .parquet(path)
+            .parquet(f"{self._data}/_folder={folder}")
         )
 
-    def staged(self, spark: SparkSession, path: str) -> DataFrame:
-        return self._visible(self._stored(spark, path))
+    def staged(self, spark: SparkSession, folder: str) -> DataFrame:
+        columns = [f for f in self.schema if f.name != self.slice_column]
+        return spark.read.schema(T.StructType(columns).add(self.slice_column, "date")).parquet(f"{self._data}/_folder={folder}")
 
-    def publish(self, spark: SparkSession, path: str) -> None:
-        """Swap in the staged slices. Doing it again changes nothing."""
-        (
-            self._stored(spark, path)
-            .sortWithinPartitions(self.slice_column, *self.sort_columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.slice_column)
-            .parquet(self.path)
-        )
-
-    def _stored(self, spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.schema(self.stored_schema).parquet(path)
+    def publish(self, spark: SparkSession, folder: str, slices: DataFrame) -> None:
+        """Switch the given slices to the staged folder. Doing it again changes nothing.
 
-    @staticmethod
-    def _visible(stored: DataFrame) -> DataFrame:
-        return stored.filter(~F.col("_deleted")).drop("_deleted")
+        Folders that neither this state nor the one before has a slice in are removed.
+        """
+        column = self.slice_column
+        replaced = slices.toDF(column)
+        filled = self.staged(spark, folder).select(column).distinct().withColumn("_folder", F.lit(folder))
+        kept = self._places.read(spark).join(replaced, column, "left_anti")
+        self._places.replace(kept.unionByName(filled))
+        self._places.forget(spark, keep=2)
+        used = {folder}
+        for version in self._places.versions(spark):
+            # One row for each folder that still holds a slice.
+            used |= {row[0] for row in self._places.read(spark, version).select("_folder").distinct().collect()}
+        for name in child_names(spark, self._data):
+            if name.startswith("_folder=") and name.partition("=")[2] not in used:
+                discard(spark, f"{self._data}/{name}")
 
 
 @dataclass(frozen=True)
 class RefreshQueue:
     """Business dates whose Gold rows are stale, kept as a log of entries.
 
-    Queueing and clearing both append, so two jobs can do so at once. An entry
-    is cleared by date and stamp: a date queued again meanwhile stays queued.
+    Queueing and clearing both append, so two jobs can do so at once. An entry is
+    cleared by date and stamp, whatever the clocks say: a date queued again
+    meanwhile stays queued. Compacting starts a new log with the open entries; the
+    one before is still read, in case another job was just adding to it.
     """
 
     path: str
 
-    @property
-    def _log(self) -> AppendTable:
-        return AppendTable(self.path, T.StructType([*schemas.REFRESH_QUEUE.fields]).add("cleared", "boolean"))
+    _schema = T.StructType([*schemas.REFRESH_QUEUE.fields]).add("cleared", "boolean")
+
+    def _logs(self, spark: SparkSession) -> list[int]:
+        found = [int(n.partition("=")[2]) for n in child_names(spark, self.path) if n.startswith("log=")]
+        return sorted(n for n in found if is_complete(spark, f"{self.path}/log={n}"))
+
+    def entries(self, spark: SparkSession) -> DataFrame:
+        """The open entries, each as it was queued."""
+        logs = self._logs(spark)
+        if not logs:
+            return spark.createDataFrame([], schemas.REFRESH_QUEUE)
+        log = spark.read.schema(self._schema).parquet(*[f"{self.path}/log={n}" for n in logs])
+        stamped = ["order_date", "queued_at"]
+        return log.filter("NOT cleared").select(*stamped).distinct().join(log.filter("cleared").select(*stamped), stamped, "left_anti")
 
     def pending(self, spark: SparkSession) -> DataFrame:
-        stamp = F.col("queued_at")
-        latest = self._log.read(spark).groupBy("order_date").agg(
-            F.max(F.when(~F.col("cleared"), stamp)).alias("queued_at"),
-            F.max(F.when(F.col("cleared"), stamp)).alias("cleared_at"),
-        )
-        open_entry = F.col("cleared_at").isNull() | (F.col("queued_at") > F.col("cleared_at"))
-        return latest.filter(open_entry).select("order_date", "queued_at")
+        """Each date with open entries, and its last stamp."""
+        return self.entries(spark).groupBy("order_date").agg(F.max("queued_at").alias("queued_at"))
+
+    def _append(self, entries: DataFrame) -> None:
+        last = max(self._logs(entries.sparkSession), default=0)
+        conform(entries, self._schema).write.mode("append").parquet(f"{self.path}/log={last}")
 
     def add(self, dates: DataFrame) -> None:
-        entries = dates.select("order_date").filter(F.col("order_date").isNotNull()).distinct()
-        self._log.append(
-            entries.select("order_date", F.current_timestamp().alias("queued_at"), F.lit(False).alias("cleared"))
-        )
+        """Queue dates, with a stamp of their own if the frame has one, or now."""
+        stamp = F.col("queued_at") if "queued_at" in dates.columns else F.current_timestamp()
+        entries = dates.filter(F.col("order_date").isNotNull()).select("order_date", stamp.alias("queued_at")).distinct()
+        self._append(entries.withColumn("cleared", F.lit(False)))
 
     def clear(self, entries: DataFrame) -> None:
-        self._log.append(entries.select("order_date", "queued_at", F.lit(True).alias("cleared")))
+        """Clear just these entries."""
+        self._append(entries.select("order_date", "queued_at").withColumn("cleared", F.lit(True)))
+
+    def compact(self, spark: SparkSession) -> None:
+        """Start a new log with the open entries; logs older than the last one go."""
+        logs = self._logs(spark)
+        if not logs:
+            return
+        fresh = self.entries(spark).withColumn("cleared", F.lit(False))
+        conform(fresh, self._schema).write.mode("overwrite").parquet(f"{self.path}/log={logs[-1] + 1}")
+        for old in logs[:-1]:
+            discard(spark, f"{self.path}/log={old}")
