@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +16,7 @@ from tillflow.sources import scratch
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+ROOT = str(Path(__file__).resolve().parents[2])
 # monotonically_increasing_id keeps the partition above this bit.
 PLACE_BITS = 33
 
@@ -29,6 +32,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def shipped(frame: DataFrame) -> DataFrame:
+    """`frame`, with the workers told where this package lies if they see the same folders; else ship it as py-files."""
+    environment = frame.sparkSession.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [*paths, ROOT] if p)
+    return frame
+
+
 def arrow_map(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
     """`work(batch) -> pyarrow.RecordBatch` over every Arrow batch."""
 
@@ -36,7 +48,7 @@ def arrow_map(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
         for batch in batches:
             yield work(batch)
 
-    return frame.mapInArrow(run, schema)
+    return shipped(frame).mapInArrow(run, schema)
 
 
 def record_batch(fields: list[tuple[str, pa.DataType, object]]) -> pa.RecordBatch:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import arrow_map, partitions, record_batch, stored
+from tillflow.llm.common import arrow_map, partitions, record_batch, shipped, stored
 from tillflow.llm.components import components
 
 COSINE = 0.95
@@ -51,7 +51,7 @@ def buckets_of(unit: np.ndarray, directions: int, tables: int) -> np.ndarray:
     shift = random.uniform(0, WIDTH, directions * tables)
     factors = random.integers(1, 2**63, (tables, directions), dtype=np.int64) | 1
     cells = np.floor((unit @ axes + shift) / WIDTH).astype(np.int64).reshape(len(unit), tables, directions)
-    return (cells * factors).sum(2) + np.arange(tables) * np.int64(0x9E3779B97F4A7C1)
+    return (cells * factors).sum(2) + (np.arange(tables) + tables * unit.shape[1]) * np.int64(0x9E3779B97F4A7C1)
 
 
 def _units(batch_column) -> np.ndarray:
@@ -78,7 +78,7 @@ def _compared(directions: int, tables: int, cosine: float):
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for (table, first, second, _), block in frame.groupby(["table", "first", "second", "bucket"], sort=False):
+        for (table, first, second, _, _), block in frame.groupby(["table", "first", "second", "bucket", "dim"], sort=False):
             if len(block) < 2:
                 continue
             unit = _units(block["vector"])
@@ -102,7 +102,9 @@ def _compared(directions: int, tables: int, cosine: float):
                 if a != b:
                     root[max(a, b)] = min(a, b)
                     out.append((int(ids[a]), int(ids[b]), 0))
-        return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
+        # Each column by its own type: among nulls, numbers of 64 bits would turn into floats.
+        a, b, n = zip(*out) if out else ((), (), ())
+        return pd.DataFrame({"a": pd.array(a, "int64"), "b": pd.array(b, "Int64"), "n": pd.array(n, "int64")})
 
     return compare
 
@@ -137,10 +139,10 @@ def near_links(classes: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     paired = stored(paired, "vector-pairs")
     groups = max(partitions(spark), paired.count() // GROUP_ROWS)
-    full = paired.join(classes.select("cls", "vector", "members"), "cls").withColumn(
+    full = paired.join(classes.select("cls", "vector", "members", "dim"), "cls").withColumn(
         "g", F.pmod(F.xxhash64("bucket", "table", "first", "second"), F.lit(groups))
     )
-    return full.groupBy("g").applyInPandas(_compared(directions, tables, cosine), "a long, b long, n long")
+    return shipped(full).groupBy("g").applyInPandas(_compared(directions, tables, cosine), "a long, b long, n long")
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:

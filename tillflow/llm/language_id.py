@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import record_batch
+from tillflow.llm.common import record_batch, shipped
 
 DIMENSIONS = 1024
 SEED = 4177
@@ -134,7 +134,7 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, n
             ])
 
     rows = (
-        labelled.select("text", "lang").mapInArrow(work, "lang string, bundle array<long>")
+        shipped(labelled).select("text", "lang").mapInArrow(work, "lang string, bundle array<long>")
         .select("lang", F.posexplode("bundle").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
     )
     found: dict[str, np.ndarray] = {}
@@ -165,7 +165,7 @@ def predicted(docs: DataFrame, profiles: dict[str, np.ndarray], dimensions: int
                 ]),
             ])
 
-    return docs.select("key", "text", "held_out").mapInArrow(work, "key long, held_out boolean, lang_pred string, score double")
+    return shipped(docs).select("key", "text", "held_out").mapInArrow(work, "key long, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 5) -> DataFrame:

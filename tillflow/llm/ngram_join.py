@@ -255,9 +255,25 @@ def _fit(most: int) -> str:
     return f"100 * least(n, m) >= 80 * greatest(n, m) AND greatest(n, m) > {most}"
 
 
-def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of marks whose sets link, by their exact overlap."""
-    wanted = pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct()
+def cells(shingle_set: np.ndarray) -> bytes:
+    """A bitmap of the cells that the shingles' leading bits fall into; two to four cells for each shingle."""
+    width = max(3, int(2 * len(shingle_set) - 1).bit_length())
+    taken = np.zeros(1 << width, bool)
+    taken[shingle_set >> np.uint64(64 - width)] = True
+    return np.packbits(taken).tobytes()
+
+
+def may_link(a: bytes, b: bytes, n: int, m: int) -> bool:
+    """Whether sets of these cells and sizes can link: what lies in a cell that the other has not is not shared."""
+    x, y = (np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool) for bits in (a, b))
+    size = min(len(x), len(y))
+    x, y = (bits.reshape(size, -1).any(1) for bits in (x, y))
+    return min(n - int((x & ~y).sum()), m - int((y & ~x).sum())) >= need(n, m)
+
+
+def _fetched(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text: str, of_set) -> DataFrame:
+    """mark, n and `of_set(shingles)` of every set that occurs in `pairs`, worked out again from one of its documents."""
+    wanted = stored(pairs.select(F.col("a").alias("mark")).union(pairs.select(F.col("b").alias("mark"))).distinct(), "wanted")
     keys = stored(sets.join(wanted, "mark").select("key").distinct(), "wanted-keys")
     few = keys.count() <= BROADCAST_KEYS
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -265,24 +281,36 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text:
 
     def work(batch):
         found = list(_sets(batch, 0))
-        return record_batch([("mark", pa.int64(), [m for m, _ in found]), ("s", pa.binary(), [s.tobytes() for _, s in found])])
+        return record_batch([
+            ("mark", pa.int64(), [m for m, _ in found]), ("n", pa.int64(), [len(s) for _, s in found]),
+            ("value", pa.binary(), [of_set(s) for _, s in found]),
+        ])
 
-    found = arrow_map(rows.select("text"), work, "mark long, s binary").join(wanted, "mark", "left_semi").dropDuplicates(["mark"])
-    found = stored(found, "wanted-sets")
-    both = pairs.join(found.select(F.col("mark").alias("a"), F.col("s").alias("s")), "a").join(
-        found.select(F.col("mark").alias("b"), F.col("s").alias("t")), "b"
-    )
+    found = arrow_map(rows.select("text"), work, "mark long, n long, value binary").join(wanted, "mark", "left_semi")
+    return stored(found.dropDuplicates(["mark"]), "wanted-sets")
 
-    def check(batch):
-        keep = []
-        for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            x, y = np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)
-            joint = np.sort(np.concatenate([x, y]))
-            keep.append(int((joint[1:] == joint[:-1]).sum()) >= need(len(x), len(y)))
-        at = pa.array(np.nonzero(keep)[0])
+
+def _tested(pairs: DataFrame, values: DataFrame, test) -> DataFrame:
+    """The pairs (a, b) whose values pass `test(value, value, size, size)`."""
+    both = pairs.join(values.toDF("a", "n", "s"), "a").join(values.toDF("b", "m", "t"), "b")
+
+    def work(batch):
+        columns = [batch.column(i).to_pylist() for i in range(2, 6)]
+        at = pa.array(np.nonzero([test(*row) for row in zip(*columns)])[0])
         return record_batch([("a", pa.int64(), batch.column(0).take(at)), ("b", pa.int64(), batch.column(1).take(at))])
 
-    return arrow_map(both.select("a", "b", "s", "t"), check, "a long, b long")
+    return arrow_map(both.select("a", "b", "s", "t", "n", "m"), work, "a long, b long")
+
+
+def overlaps(s: bytes, t: bytes, n: int, m: int) -> bool:
+    joint = np.sort(np.concatenate([np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64)]))
+    return int((joint[1:] == joint[:-1]).sum()) >= need(n, m)
+
+
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
+    """The pairs (a, b) of marks whose sets link: those that their cells do not rule out, by their exact overlap."""
+    left = stored(_tested(pairs, _fetched(docs, sets, pairs, key, text, cells), may_link), "pairs-left")
+    return _tested(left, _fetched(docs, sets, left, key, text, lambda s: s.tobytes()), overlaps)
 
 
 def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:

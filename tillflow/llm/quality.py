@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import record_batch, stored
+from tillflow.llm.common import record_batch, shipped, stored
 
 ORDER = 4
 # Classes of signs: a blank, 26 letters, and one for each entry or rule below.
@@ -99,7 +99,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         at = np.nonzero(seen)[0]
         yield record_batch([("g", pa.int64(), at), ("c", pa.int64(), trusted[at])])
 
-    return docs.select("text", "trusted").mapInArrow(work, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+    return shipped(docs).select("text", "trusted").mapInArrow(work, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
 
 
 def discounts(counts: DataFrame) -> list[float]:
@@ -176,7 +176,7 @@ def scored(docs: DataFrame, table: DataFrame) -> DataFrame:
             ])
 
     schema = "key long, trusted boolean, lang string, signs long, logp double"
-    return docs.select("key", "text", "trusted", "lang").mapInArrow(work, schema)
+    return shipped(docs).select("key", "text", "trusted", "lang").mapInArrow(work, schema)
 
 
 def _quantile(values: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import partitions, record_batch
+from tillflow.llm.common import partitions, record_batch, shipped
 from tillflow.sources import scratch
 
 SEQUENCE = 1024  # ids of a record, the closing one among them
@@ -145,7 +145,7 @@ def write(
     an empty table writes nothing. The files of a shard's folder, one each, hold
     records of 2 * length bytes. The last sequence of each task is padded with end ids.
     """
-    spark = docs.sparkSession
+    spark = shipped(docs).sparkSession
     store = scratch.new_dir(spark, "sequences")
     # The encoded sequences are stored once: their numbers and what is written come from the same rows.
     packed(docs, vocabulary, pattern, key, text, length).write.option("compression", "zstd").parquet(store)
