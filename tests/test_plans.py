@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import samples
 from tillflow.operators import gold, versions
-from tillflow.operators.retail import countries, extracts, negatives
+from tillflow.operators.retail import countries, extracts, lines, negatives
 from tillflow.plans import pipeline, report, views
 from tillflow.plans.catalogue import QUERIES
 from tillflow.plans.pipeline import Layout
@@ -63,7 +63,8 @@ def test_cleaning_costs_one_shuffle_and_the_total_reuses_it(spark):
     assert plan(extracts.cleaning_audit(ledger)).count("Exchange hashpartitioning") == 1
     cleaned = report.Cleaned(views.retail_ledger(spark, SF_DIR))
     assert "Exchange hashpartitioning" not in plan(cleaned.analysis)
-    for frame in (countries.country_summary(cleaned.analysis), negatives.negative_breakdown(cleaned.analysis)):
+    analysis = lines.with_line_flags(extracts.distinct_lines(ledger))
+    for frame in (countries.country_summary(analysis), negatives.negative_breakdown(analysis)):
         assert "ReusedExchange" in plan(frame, final=True)
 
 

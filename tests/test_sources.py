@@ -47,6 +47,32 @@ def test_only_overlong_lines_are_drift(spark, root):
     assert [tuple(r) for r in seen] == [("orders_2024-01-01.csv", 8, 4, 1)]
 
 
+def test_fields_land_by_header_name(spark, root):
+    inbox, layout = Path(root) / "inbox", Layout(f"{root}/t")
+    inbox.mkdir()
+    files = {
+        "moved": "region,order_id,order_date,product_id,customer_id,unit_price,quantity\nEast,moved,2024-01-01,P1,C1,2.00,1\n",
+        "extra": "order_id,order_date,customer_id,coupon,product_id,quantity,unit_price,region\nextra,2024-01-01,C1,X9,P1,1,2.00,East\n"
+                 "plain,2024-01-01,C1,,P1,1,2.00,East\n\n",
+        "missing": "order_id,order_date,customer_id,product_id,quantity,region\nmissing,2024-01-01,C1,P1,1,East\n",
+        "renamed": " ORDER_ID ,order_date,customer,product_id,quantity,unit_price,region\nrenamed,2024-01-01,C1,P1,1,2.00,East,more\n",
+        "empty": "",
+        "bare": "order_id,order_date,customer_id,product_id,quantity,unit_price,region\n",
+    }
+    for name, text in files.items():
+        (inbox / f"orders_{name}.csv").write_text(text)
+    pipeline.ingest_orders(spark, layout, str(inbox))
+    found = {r.order_id: r for r in pipeline.read_bronze(spark, layout).collect()}
+    assert set(found) == {"moved", "extra", "plain", "missing", "renamed"}
+    for name in ("moved", "extra", "plain"):
+        row = found[name]
+        assert (row.order_date, row.customer_id, row.product_id, row.quantity, row.unit_price, row.region) == (
+            "2024-01-01", "C1", "P1", "1", "2.00", "East")
+    assert found["missing"].unit_price is None and found["renamed"].customer_id is None
+    assert {n for n, r in found.items() if r._rescued_data} == {"extra", "renamed"}
+    assert found["extra"]._rescued_data == "extra,2024-01-01,C1,X9,P1,1,2.00,East"
+
+
 def test_each_file_is_read_once(spark, root):
     inbox, layout = Path(root) / "inbox", Layout(f"{root}/t")
     samples.drop_file(inbox, "2024-01-01")

@@ -6,6 +6,8 @@ ones it needs.
 
 from __future__ import annotations
 
+from tillflow.schemas import ORDER_FIELDS
+
 JOINED = """
 joined AS (
   SELECT * FROM lineitem
@@ -427,8 +429,9 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM cells", PRODUCTS, HELD, INCOMING, UPSERTED, cells("cells", "upserted")
     ),
     "stream_ingest_counts": over_messy(
-        """SELECT count(*) AS rows_landed, count(_rescued_data) AS rows_with_schema_drift,
-        count(DISTINCT order_date) AS distinct_raw_dates FROM bronze"""
+        "SELECT count(*) AS rows_landed, count(_rescued_data) AS rows_with_schema_drift, "
+        + ", ".join(f"count(DISTINCT nullif({name}, '')) AS distinct_{name}" for name in ORDER_FIELDS)
+        + " FROM bronze"
     ),
     "stream_silver": over_messy("SELECT * EXCLUDE (_ingested_at) FROM silver", SILVER),
     "contract_violations": over_messy(
