@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 from pathlib import Path
 
+# Fixed values from here to the products: worked files and the Gold rows they must give.
 HEADER = "order_id,order_date,customer_id,product_id,quantity,unit_price,region"
 
 DAY1 = """O1001,2024-01-01,C001,P001,1,24.99,East
