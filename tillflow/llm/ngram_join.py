@@ -204,7 +204,12 @@ def frequent_shingles(docs: DataFrame, text: str, elements: int) -> np.ndarray:
 
 
 def inverted_lists(docs: DataFrame, text: str, elements: int, frequent: np.ndarray, most: int) -> DataFrame:
-    """k, mark, n: the lists in which at least two sets meet."""
+    """k, mark, n, room: the lists in which at least two sets meet.
+
+    `room` counts a set's elements from this one on, in the global order. Two sets
+    have no element in common before their first shared list, so there their
+    overlap is at most the smaller room.
+    """
     bits = _bits(elements // 5)
     low = np.uint64((1 << (KEY_BITS - bits)) - 1)
     place = np.argsort(frequent)
@@ -225,34 +230,38 @@ def inverted_lists(docs: DataFrame, text: str, elements: int, frequent: np.ndarr
         lengths = [len(k) for _, _, k in sets]
         marks = np.repeat(np.array([m for m, _, _ in sets], np.int64), lengths)
         sizes = np.repeat(np.array([n for _, n, _ in sets], np.uint32), lengths)
+        places = np.concatenate([np.arange(n, dtype=np.uint32) for n in lengths]) if lengths else sizes
         order = np.argsort(keys, kind="stable")
-        keys, marks, sizes = keys[order], marks[order], sizes[order]
+        keys, marks, sizes, places = keys[order], marks[order], sizes[order], places[order]
         rows = [
-            (s, (keys[i:j] & low).astype(np.uint32).tobytes(), marks[i:j].tobytes(), sizes[i:j].tobytes())
+            (s, (keys[i:j] & low).astype(np.uint32).tobytes(), *(c[i:j].tobytes() for c in (marks, sizes, places)))
             for s, i, j in _cut(keys, bits)
         ]
-        shards, k, m, n = zip(*rows) if rows else ((), (), (), ())
-        return record_batch([("shard", pa.int64(), shards), ("k", pa.binary(), k), ("marks", pa.binary(), m), ("sizes", pa.binary(), n)])
+        columns = zip(*rows) if rows else ((),) * 5
+        names = ("shard", "k", "marks", "sizes", "places")
+        return record_batch([(n, pa.binary() if n != "shard" else pa.int64(), c) for n, c in zip(names, columns)])
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, marks, sizes = (
-            np.frombuffer(b"".join(frame[c]), kind) for c, kind in (("k", np.uint32), ("marks", np.int64), ("sizes", np.uint32))
-        )
-        order = np.lexsort((marks, keys))
-        keys, marks, sizes = keys[order], marks[order], sizes[order]
+        kinds = {"k": np.uint32, "marks": np.int64, "sizes": np.uint32, "places": np.uint32}
+        keys, marks, sizes, places = (np.frombuffer(b"".join(frame[c]), kind) for c, kind in kinds.items())
+        order = np.lexsort((places, marks, keys))
+        keys, marks, sizes, places = keys[order], marks[order], sizes[order].astype(np.int64), places[order]
         new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])])
-        keys, marks, sizes = keys[new], marks[new], sizes[new]
+        keys, marks, sizes, room = keys[new], marks[new], sizes[new], (sizes - places)[new]
         same = keys[1:] == keys[:-1]
         shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         high = np.int64(int(frame["shard"].iloc[0]) << (KEY_BITS - bits))
-        return pd.DataFrame({"k": keys[shared].astype(np.int64) | high, "mark": marks[shared], "n": sizes[shared].astype(np.int64)})
+        return pd.DataFrame({
+            "k": keys[shared].astype(np.int64) | high, "mark": marks[shared], "n": sizes[shared], "room": room[shared],
+        })
 
-    sent = arrow_map(docs.select(F.col(text)), work, "shard long, k binary, marks binary, sizes binary")
-    return sent.groupBy("shard").applyInPandas(gather, "k long, mark long, n long")
+    sent = arrow_map(docs.select(F.col(text)), work, "shard long, k binary, marks binary, sizes binary, places binary")
+    return sent.groupBy("shard").applyInPandas(gather, "k long, mark long, n long, room long")
 
 
 def _fit(most: int) -> str:
-    return f"100 * least(n, m) >= 80 * greatest(n, m) AND greatest(n, m) > {most}"
+    """Whether sets of sizes n and m can link if this is their first list: the needed overlap fits into both rooms."""
+    return f"9 * least(room, other_room) >= 4 * (n + m) AND greatest(n, m) > {most}"
 
 
 def cells(shingle_set: np.ndarray) -> bytes:
@@ -321,23 +330,26 @@ def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
     elements = sets.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_shingles(docs, text, elements)
     lists = stored(inverted_lists(docs, text, elements, frequent, most), "lists")
-    # First each set with its neighbour by size and with the first of its list.
-    line = Window.partitionBy("k").orderBy("n", "mark")
-    beside = lists.withColumns({
-        "last": F.struct(F.lag("mark").over(line).alias("b"), F.lag("n").over(line).alias("m")),
-        "first": F.struct(F.first("mark").over(line).alias("b"), F.first("n").over(line).alias("m")),
+    # First each set with two neighbours in a random order of each of its lists. Sets of a large group meet so many
+    # of each other over their lists that they end up in one component.
+    line = Window.partitionBy("k").orderBy(F.xxhash64("mark", "k"), "mark")
+    columns = {"mark": "b", "n": "m", "room": "other_room"}
+    near = lists.withColumns({
+        f"_{back}": F.struct(*[F.lag(c, back).over(line).alias(name) for c, name in columns.items()]) for back in (1, 2)
     })
-    near = beside.select(F.col("mark").alias("a"), "n", F.explode(F.array("last", "first")).alias("o"))
-    near = near.select("a", "n", "o.b", "o.m")
-    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    tried = stored(near.filter(f"b IS NOT NULL AND a <> b AND {_fit(most)}").select(*ordered).distinct(), "pairs")
+    near = near.select("mark", "n", "room", F.explode(F.array("_1", "_2")).alias("o")).select("mark", "n", "room", "o.*")
+    near = near.filter(f"b IS NOT NULL AND {_fit(most)}")
+    tried = near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
+    tried = stored(tried, "pairs")
     links = stored(links.union(verified(docs, sets, tried, key, text)), "links-found")
-    # Then what still lies in different components of a list.
+    # Then every pair that still lies in different components of a list.
     known = components(links)
-    at = lists.join(known, F.col("mark") == F.col("node"), "left").select("k", "mark", "n", F.coalesce("component", "mark").alias("c"))
+    at = lists.join(known, F.col("mark") == F.col("node"), "left").select(
+        "k", "mark", "n", "room", F.coalesce("component", "mark").alias("c")
+    )
     open_lists = at.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("k")
     at = stored(at.join(open_lists, "k"), "open-lists")
-    other = at.select("k", F.col("mark").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
+    other = at.select("k", F.col("mark").alias("b"), F.col("n").alias("m"), F.col("room").alias("other_room"), F.col("c").alias("d"))
     rest = (
         at.withColumnRenamed("mark", "a").join(other, "k").filter(f"a < b AND c <> d AND {_fit(most)}")
         .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
