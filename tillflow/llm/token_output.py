@@ -157,7 +157,7 @@ def write(
     size = rows.count()
 
     def place(batches):
-        pack = zstandard.ZstdCompressor(level=1)
+        pack = zstandard.ZstdCompressor(level=9)
         for batch in batches:
             slot = slots_of(batch.column(0).to_numpy(), size, seed)
             ids = batch.column(1).to_pylist()
