@@ -16,6 +16,8 @@ from tillflow.sources import scratch
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Rows of an Arrow batch.
+BATCH_ROWS = 1000
 ROOT = str(Path(__file__).resolve().parents[2])
 # monotonically_increasing_id keeps the partition above this bit.
 PLACE_BITS = 33
@@ -33,7 +35,11 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
 
 
 def shipped(frame: DataFrame) -> DataFrame:
-    """`frame`, with the workers told where this package lies if they see the same folders; else ship it as py-files."""
+    """`frame`, ready for Python workers: they get small batches, so that texts of many rows never pile up.
+
+    They are told where this package lies if they see the same folders; else ship it as py-files.
+    """
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     environment = frame.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
