@@ -149,6 +149,31 @@ def test_perplexities_are_kneser_ney(spark):
         assert row.signs == signs and row.logp == pytest.approx(logp, rel=1e-4)
 
 
+def test_signs_have_no_fixed_alphabet():
+    """Capitals, digits and letters of any script are signs of their own, so n-grams do not saturate."""
+    found = lambda text: [g for part, _ in quality.grams([text]) for g in part.tolist()]
+    for one, other in (("ABBA", "CDDC"), ("1221", "3443"), ("привет", "ртефгд"), ("日本語", "木有請"), ("é", "í")):
+        assert not {*found(one)} & {*found(other)}
+    # Scrambled text of a non-Latin script, of more signs than eight classes, is n-grams that the ordered text has not.
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    assert len({*found("".join(alphabet))}) == 3000
+    shuffled = alphabet[:]
+    random.Random(3).shuffle(shuffled)
+    assert len({*found("".join(alphabet))} & {*found("".join(shuffled))}) < 30
+
+
+def test_scrambled_text_of_any_script_is_rejected(spark):
+    pick = random.Random(5)
+    vocabulary = ["".join(chr(0x430 + pick.randrange(32)) for _ in range(pick.randint(3, 8))) for _ in range(100)]
+    clean = [" ".join(pick.choice(vocabulary) for _ in range(120)) for _ in range(120)]
+    # Every letter is replaced by one eight further on: the same class of signs before.
+    junk = ["".join(c if c == " " else chr(0x430 + (ord(c) - 0x430 + 8 * pick.randrange(1, 4)) % 32) for c in t) for t in clean[:10]]
+    rows = [(i, t, "ru", "s", 1) for i, t in enumerate(clean + junk)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    found = {r.key: r.kept for r in quality.classify(corpus.frame(spark, rows), labels).collect()}
+    assert not any(found[i] for i in range(120, 130)) and sum(found[i] for i in range(120)) >= 117
+
+
 def test_quality_rejects_junk_and_keeps_the_rest(spark, docs):
     pick = random.Random(4)
     vocabulary = ["".join(pick.choice("aeiounrst") for _ in range(pick.randint(2, 8))) for _ in range(300)]

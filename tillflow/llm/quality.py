@@ -1,110 +1,204 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model.
 
-The model's signs are the letters a to z and classes of all other characters,
-`SIGNS` in all, so there are at most SIGNS ** ORDER n-grams, whatever the data.
+The model's signs are all characters as they are, blanks in a row as one; its
+n-grams are counted with no fixed alphabet, so that their number grows with the
+data. An n-gram is two numbers: `lo` has its last three signs, `hi` those before.
 Every task counts the n-grams of its documents, the trusted ones apart; Spark adds
 them up by n-gram. The counts of each order are then joined with those of their
 contexts and of the next lower order, sharded by n-gram, which gives a
-probability to every n-gram that any document holds. A document's perplexity is
-the mean over its n-grams, looked up in that finished table. A document is
-rejected if it is less likely than a quantile of the trusted documents of its
-language allows.
+probability to every n-gram that any document holds. Documents are read in blocks;
+the distinct n-grams of each block are joined with the probabilities, and meet
+the block's texts again. Texts fall into two halves by a hash, and each half is
+scored by the model of the other's trusted texts: so many n-grams would know the
+texts that they were counted in. A document's perplexity is the mean over its
+n-grams. A document is rejected if it is less likely than a quantile of the trusted documents
+of its language allows, and a margin beyond it.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import record_batch, shipped, stored
+from tillflow.llm.common import PLACE_BITS, record_batch, shipped, stored
 
 ORDER = 4
-# Classes of signs: a blank, 26 letters, and one for each entry or rule below.
-SIGNS = 48
-CAPITAL, DIGIT, FIRST_OTHER_LETTER, OTHER_LETTERS = 27, 28, 29, 8
-MARKS = {".": 37, ",": 38, ";": 39, ":": 39, "!": 40, "?": 41, "|": 45}
-QUOTE, DASH, BRACKET, ASCII_MARK, ANY_OTHER = 42, 43, 44, 46, 47
+# A sign is a code point; so many bits hold one, and LO_SIGNS of them fit one number.
+SIGN_BITS, LO_SIGNS = 21, 3
+SIGNS, CODES = 1 << SIGN_BITS, 0x110000
 # The quantile of trusted documents, and how far beyond it, in parts of its distance from the median, is still kept.
 QUANTILE, MARGIN = 0.99, 1.0
 # A document counts as so many signs of its language's median more; bins of a unit of log perplexity.
 PRIOR_SIGNS, BINS = 40, 1000
-# Signs that a worker takes at a time, and ids that are broadcast at most.
+# Signs that a worker takes at a time, bytes of texts in a block, and ids that are broadcast at most.
 SLICE_SIGNS = 2_000_000
+BLOCK_BYTES = 12_000_000
 BROADCAST_KEYS = 2_000_000
+BLANK = ord(" ")
 
+_blanks: list[np.ndarray] = []
 
-def sign_class(c: str) -> int:
-    if "a" <= c <= "z":
-        return ord(c) - 96
-    if c.isspace():
-        return 0
-    if c.isupper():
-        return CAPITAL
-    if c.isalpha():
-        return FIRST_OTHER_LETTER + ord(c) % OTHER_LETTERS
-    if c.isdigit():
-        return DIGIT
-    if c in MARKS:
-        return MARKS[c]
-    if c in "'\"`’‘“”«»":
-        return QUOTE
-    if c in "-–—":
-        return DASH
-    if c in "()[]{}<>":
-        return BRACKET
-    return ASCII_MARK if c.isascii() else ANY_OTHER
 
+def slices(texts: list[str | None]):
+    """(signs, where n-grams begin in them, number of the text of each) of slices of texts.
 
-_classes: list[np.ndarray] = []
-
-
-def grams(texts: list[str | None]):
-    """(n-grams, number of the text) of slices of texts; blanks in a row are one, and three stand before a text."""
-    if not _classes:
-        _classes.append(np.array([sign_class(chr(c)) for c in range(0x110000)], np.uint8))
-    parts, owners, length = [], [], 0
+    Blanks in a row are one, and ORDER - 1 stand before a text.
+    """
+    if not _blanks:
+        _blanks.append(np.array([chr(c).isspace() for c in range(CODES)]))
+    parts, begins, owners, length, grams_held = [], [], [], 0, 0
     for number, text in enumerate(texts):
-        signs = _classes[0][np.frombuffer((text or "").encode("utf-32-le"), np.uint32)]
-        if not signs.any():
+        signs = np.frombuffer((text or "").encode("utf-32-le"), np.uint32).astype(np.int32)
+        blank = _blanks[0][signs]
+        if blank.all():
             continue
-        signs = signs[np.concatenate([[True], (signs[1:] != 0) | (signs[:-1] != 0)])]
-        signs = np.concatenate([np.zeros(ORDER - 1, np.uint8), signs])
+        signs[blank] = BLANK
+        signs = signs[np.concatenate([[True], ~(blank[1:] & blank[:-1])])]
+        signs = np.concatenate([np.full(ORDER - 1, BLANK, np.int32), signs])
         for begin in range(0, len(signs) - ORDER + 1, SLICE_SIGNS):
-            piece = signs[begin : begin + SLICE_SIGNS + ORDER - 1].astype(np.int32)
-            found = piece[: len(piece) - ORDER + 1]
-            for i in range(1, ORDER):
-                found = found * SIGNS + piece[i : len(piece) - ORDER + 1 + i]
-            parts.append(found)
-            owners.append(np.full(len(found), number))
-            length += len(found)
-            if length >= SLICE_SIGNS:
-                yield np.concatenate(parts), np.concatenate(owners)
-                parts, owners, length = [], [], 0
+            piece = signs[begin : begin + SLICE_SIGNS + ORDER - 1]
+            found = len(piece) - ORDER + 1
+            parts.append(piece)
+            begins.append(np.arange(length, length + found))
+            owners.append(np.full(found, number))
+            length, grams_held = length + len(piece), grams_held + found
+            if grams_held >= SLICE_SIGNS:
+                yield np.concatenate(parts), np.concatenate(begins), np.concatenate(owners)
+                parts, begins, owners, length, grams_held = [], [], [], 0, 0
     if parts:
-        yield np.concatenate(parts), np.concatenate(owners)
+        yield np.concatenate(parts), np.concatenate(begins), np.concatenate(owners)
+
+
+def ranked(signs: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """A number for each n-gram, the same for the same n-gram and for no other in this slice."""
+    present = np.zeros(CODES, bool)
+    present[signs] = True
+    ids = (np.cumsum(present) - 1)[signs]
+    width = alphabet = int(present.sum())
+    found = ids[begins]
+    for i in range(1, ORDER):
+        if width * alphabet >= 1 << 62:
+            distinct, found = np.unique(found, return_inverse=True)
+            width = len(distinct)
+        found = found * alphabet + ids[begins + i]
+        width *= alphabet
+    return found
+
+
+def paired(signs: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """hi and lo of the n-grams that begin at `begins`."""
+    halves = [np.zeros(len(begins), np.int64), np.zeros(len(begins), np.int64)]
+    for i in range(ORDER):
+        half = int(i >= ORDER - LO_SIGNS)
+        halves[half] = (halves[half] << SIGN_BITS) | signs[begins + i]
+    return halves[0], halves[1]
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """g, c (in trusted documents) of every n-gram in `docs` (text, trusted); summed in each task first."""
+def grams(texts: list[str | None]):
+    """(n-grams as whole numbers to the base SIGNS, number of the text) of slices of texts."""
+    for signs, begins, owners in slices(texts):
+        hi, lo = paired(signs, begins)
+        yield (hi.astype(object) << (SIGN_BITS * LO_SIGNS)) | lo.astype(object), owners
+
+
+def packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def in_blocks(docs: DataFrame) -> DataFrame:
+    """`docs` (key, text, trusted, lang) and the half of each, stored as block and `rows`, packed rows of that block.
+
+    Blocks are neighbours of BLOCK_BYTES, whatever their keys. Texts are packed since they are stored and moved whole.
+    """
 
     def work(batches):
-        trusted, seen = np.zeros(SIGNS**ORDER, np.int64), np.zeros(SIGNS**ORDER, bool)
+        block, held = TaskContext.get().partitionId() << PLACE_BITS, 0
         for batch in batches:
-            of_batch = np.array(batch.column(1).to_pylist(), bool)
-            for found, owner in grams(batch.column(0).to_pylist()):
-                seen[found] = True
-                np.add.at(trusted, found[of_batch[owner]], 1)
-        at = np.nonzero(seen)[0]
-        yield record_batch([("g", pa.int64(), at), ("c", pa.int64(), trusted[at])])
+            numbers, cuts = [], [0]
+            for at, size in enumerate(batch.column(5).to_pylist()):
+                if held and held + size > BLOCK_BYTES:
+                    block, held = block + 1, 0
+                    cuts.append(at)
+                held += size
+                numbers.append(block)
+            kept = pa.RecordBatch.from_arrays(batch.columns[:5], names=["key", "text", "trusted", "lang", "half"])
+            for begin, end in zip(cuts, [*cuts[1:], len(numbers)]):
+                if begin < end:
+                    rows = [packed(kept.slice(begin, end - begin))]
+                    yield record_batch([("block", pa.int64(), [numbers[begin]]), ("rows", pa.binary(), rows)])
+
+    half = F.xxhash64("text").bitwiseAND(F.lit(1)).alias("half")
+    rows = docs.select("key", "text", "trusted", "lang", half, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    return stored(shipped(rows).mapInArrow(work, "block long, rows binary"), "lm-blocks")
+
+
+def block_grams(blocks: DataFrame) -> DataFrame:
+    """block, hi, lo, c0 and c1 of the n-grams of `blocks`; each task adds a block's slices up.
+
+    c0 counts for the model that scores half 0, in trusted documents of half 1; c1 the other way round.
+    """
+
+    def work(batches):
+        now, held = None, []
+        for block, texts, counted in runs(batches):
+            if block != now and held:
+                yield summed(now, held)
+                held = []
+            now = block
+            for signs, begins, owners in slices(texts):
+                codes = ranked(signs, begins)
+                order = np.argsort(codes)
+                codes = codes[order]
+                firsts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+                counts = [np.add.reduceat((counted == m)[owners[order]].astype(np.int64), firsts) for m in range(2)]
+                held.append((*paired(signs, begins[order[firsts]]), *counts))
+        if held:
+            yield summed(now, held)
+
+    def summed(block, held):
+        frame = pd.DataFrame({c: np.concatenate(v) for c, v in zip(("hi", "lo", "c0", "c1"), zip(*held))})
+        if len(held) > 1:
+            frame = frame.groupby(["hi", "lo"], as_index=False).sum()
+        columns = [(c, pa.int64(), frame[c].to_numpy()) for c in ("hi", "lo", "c0", "c1")]
+        return record_batch([("block", pa.int64(), np.full(len(frame), block)), *columns])
+
+    def runs(batches):
+        """Texts of one block, SLICE_SIGNS bytes or so at a time, each with the model that it counts for, or -1."""
+        now, texts, counted, held = None, [], [], 0
+        for block, data in ((b, d) for batch in batches for b, d in zip(batch.column(0).to_pylist(), batch.column(1))):
+            rows = unpacked(data.as_buffer())
+            for text, trusted, half in zip(*(rows.column(c).to_pylist() for c in ("text", "trusted", "half"))):
+                if texts and (block != now or held >= SLICE_SIGNS):
+                    yield now, texts, np.array(counted)
+                    texts, counted, held = [], [], 0
+                now, held = block, held + len(text or "")
+                texts.append(text)
+                counted.append(1 - half if trusted else -1)
+        if texts:
+            yield now, texts, np.array(counted)
+
+    return shipped(blocks).select("block", "rows").mapInArrow(work, "block long, hi long, lo long, c0 long, c1 long")
+
 
-    return shipped(docs).select("text", "trusted").mapInArrow(work, "g long, c long").groupBy("g").agg(F.sum("c").alias("c"))
+def gram_counts(docs: DataFrame) -> DataFrame:
+    """hi, lo, c (in trusted documents) of every n-gram in `docs` (key, text, trusted, lang)."""
+    return block_grams(in_blocks(docs)).groupBy("hi", "lo").agg(F.sum(F.col("c0") + F.col("c1")).alias("c"))
 
 
-def discounts(counts: DataFrame) -> list[float]:
+def discounts(counts: DataFrame, c: str) -> list[float]:
     """D1, D2 and D3+ from how many n-grams occur one to four times."""
-    n = {r["c"]: r["n"] for r in counts.filter("c BETWEEN 1 AND 4").groupBy("c").agg(F.count("*").alias("n")).collect()}
+    n = {r[c]: r["n"] for r in counts.filter(F.col(c).between(1, 4)).groupBy(c).agg(F.count("*").alias("n")).collect()}
     n1, n2, n3, n4 = (n.get(i, 0) for i in range(1, 5))
     if not (n1 and n2 and n3):
         return [0.5, 0.75, 0.9]  # too few counts to estimate from
@@ -113,70 +207,82 @@ def discounts(counts: DataFrame) -> list[float]:
     return [min(max(d, 0.1), k - 0.05) for k, d in zip((1, 2, 3), found)]
 
 
-def _discount(d: list[float]) -> Column:
-    return F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
+def _discount(d: list[float], c: str) -> Column:
+    return F.when(F.col(c) == 0, 0.0).when(F.col(c) == 1, d[0]).when(F.col(c) == 2, d[1]).otherwise(d[2])
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """g and logp of every n-gram of `counts` (g, c): interpolated modified Kneser-Ney.
+def _last(order: int) -> list[Column]:
+    """hi and lo of an n-gram's last `order` signs."""
+    mask = [(1 << SIGN_BITS * n) - 1 for n in (max(0, order - LO_SIGNS), min(order, LO_SIGNS))]
+    return [F.col(c).bitwiseAND(F.lit(m).cast("long")) for c, m in zip(("hi", "lo"), mask)]
+
+
+def probabilities(counts: DataFrame, models: tuple[str, ...] = ("",)) -> DataFrame:
+    """hi, lo and logp of every n-gram of `counts` (hi, lo, c): interpolated modified Kneser-Ney.
 
     Lower orders count the different signs before an n-gram. Contexts that were
-    never trusted fall back to the next lower order.
+    never trusted fall back to the next lower order. Several models, whose columns
+    end as given, go through the same joins.
     """
     p = None
     # Every n-gram of an order that needs a probability, with what it counts: 0 if never trusted.
-    levels = [counts]
+    levels = [stored(counts, "lm-counts")]
     for order in range(ORDER - 1, 0, -1):
-        above = levels[-1]
-        levels.append(
-            above.groupBy((F.col("g") % SIGNS**order).alias("g")).agg(F.count_if(F.col("c") > 0).cast("long").alias("c"))
-        )
+        hi, lo = _last(order)
+        different = [F.count_if(F.col(f"c{m}") > 0).cast("long").alias(f"c{m}") for m in models]
+        levels.append(stored(levels[-1].groupBy(hi.alias("hi"), lo.alias("lo")).agg(*different), "lm-counts"))
+    # The signs of the context: all but the last one.
+    carry = F.shiftleft(F.col("hi").bitwiseAND(F.lit(SIGNS - 1).cast("long")), SIGN_BITS * (LO_SIGNS - 1))
+    context = [F.shiftright("hi", SIGN_BITS).alias("h_hi"), F.shiftright("lo", SIGN_BITS).bitwiseOR(carry).alias("h_lo")]
     for order, level in enumerate(reversed(levels), start=1):
-        level = stored(level, "lm-counts")
-        d = discounts(level)
-        context = F.floor(F.col("g") / SIGNS).cast("long").alias("h")
-        contexts = level.filter("c > 0").groupBy(context).agg(
-            F.sum("c").alias("total"), F.sum(_discount(d)).alias("left"),
+        d = {m: discounts(level, f"c{m}") for m in models}
+        contexts = level.groupBy(*context).agg(
+            *[F.sum(f"c{m}").alias(f"total{m}") for m in models],
+            *[F.sum(_discount(d[m], f"c{m}")).alias(f"left{m}") for m in models],
         )
-        top = level.select("g", "c", context, (F.col("g") % SIGNS ** (order - 1)).alias("lower"))
-        joined = top.join(contexts, "h", "left")
-        if p is None:
-            lower = F.lit(1.0 / SIGNS)
-        else:
-            joined = joined.join(p.select(F.col("g").alias("lower"), F.col("p").alias("q")), "lower")
-            lower = F.col("q")
-        own = F.when(F.col("c") > 0, F.col("c") - _discount(d)).otherwise(0.0)
-        p = joined.select("g", F.when(F.col("total").isNull(), lower).otherwise(
-            (own + F.col("left") * lower) / F.col("total")
-        ).alias("p"))
+        lower_hi, lower_lo = _last(order - 1)
+        joined = level.select("*", *context, lower_hi.alias("l_hi"), lower_lo.alias("l_lo")).join(contexts, ["h_hi", "h_lo"])
+        if p is not None:
+            below = p.select(F.col("hi").alias("l_hi"), F.col("lo").alias("l_lo"), *[F.col(f"p{m}").alias(f"q{m}") for m in models])
+            joined = joined.join(below, ["l_hi", "l_lo"])
+        lower = {m: F.lit(1.0 / SIGNS) if p is None else F.col(f"q{m}") for m in models}
+        p = joined.select("hi", "lo", *[
+            F.when(F.col(f"total{m}") == 0, lower[m]).otherwise(
+                (F.col(f"c{m}") - _discount(d[m], f"c{m}") + F.col(f"left{m}") * lower[m]) / F.col(f"total{m}")
+            ).alias(f"p{m}") for m in models
+        ])
         p = stored(p, "lm-probabilities")
-    return p.select("g", F.log("p").alias("logp"))
+    return p.select("hi", "lo", *[F.log(f"p{m}").cast("float").alias(f"logp{m}") for m in models])
 
 
 def scored(docs: DataFrame, table: DataFrame) -> DataFrame:
     """`docs` (key, text, trusted, lang) without the text: key, trusted, lang, signs, logp (sum)."""
-    rows = table.orderBy("g").toPandas()  # at most SIGNS ** ORDER rows
-    known, value = rows["g"].to_numpy(np.int32), rows["logp"].to_numpy(np.float32)
-    spread = docs.sparkSession.sparkContext.broadcast((known, value))
-    dense: list[np.ndarray] = []
-
-    def work(batches):
-        if not dense:
-            dense.append(np.zeros(SIGNS**ORDER, np.float32))
-            dense[0][spread.value[0]] = spread.value[1]
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            signs, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-            for found, owner in grams(texts):
-                signs += np.bincount(owner, minlength=len(texts))
-                total += np.bincount(owner, dense[0][found].astype(np.float64), minlength=len(texts))
-            yield record_batch([
-                ("key", pa.int64(), batch.column(0)), ("trusted", pa.bool_(), batch.column(2)),
-                ("lang", pa.string(), batch.column(3)), ("signs", pa.int64(), signs), ("logp", pa.float64(), total),
-            ])
+    blocks = in_blocks(docs)
+    known = block_grams(blocks).join(table, ["hi", "lo"])
+    return scored_blocks(blocks, known.select("block", "hi", "lo", F.col("logp").alias("logp0"), F.col("logp").alias("logp1")))
+
+
+def scored_blocks(blocks: DataFrame, known: DataFrame) -> DataFrame:
+    """Every block's texts, each half with the probabilities that `known` (block, hi, lo, logp0, logp1) has for it."""
+
+    def work(rows: pa.Table, known: pa.Table) -> pa.Table:
+        table = pd.DataFrame({c: known.column(c).to_numpy() for c in known.column_names if c != "block"}).drop_duplicates(["hi", "lo"])
+        rows = pa.concat_tables([unpacked(data.as_buffer()) for data in rows.column("rows")])
+        texts, half = rows.column("text").to_pylist(), rows.column("half").to_numpy()
+        signs, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        for found, begins, owners in slices(texts):
+            _, first, at = np.unique(ranked(found, begins), return_index=True, return_inverse=True)
+            hi, lo = paired(found, begins[first])
+            found = pd.DataFrame({"hi": hi, "lo": lo}).merge(table, "left", ["hi", "lo"])[["logp0", "logp1"]].to_numpy(np.float64)
+            signs += np.bincount(owners, minlength=len(texts))
+            total += np.bincount(owners, found[at, half[owners]], minlength=len(texts))
+        return pa.table({
+            "key": rows.column("key"), "trusted": rows.column("trusted"), "lang": rows.column("lang"),
+            "signs": pa.array(signs, pa.int64()), "logp": pa.array(total, pa.float64()),
+        })
 
     schema = "key long, trusted boolean, lang string, signs long, logp double"
-    return shipped(docs).select("key", "text", "trusted", "lang").mapInArrow(work, schema)
+    return shipped(blocks).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(work, schema)
 
 
 def _quantile(values: DataFrame, column: str, shares: dict[str, float]) -> DataFrame:
@@ -248,8 +354,14 @@ def classify(
     few = good.count() <= BROADCAST_KEYS
     rows = rows.join(F.broadcast(good) if few else good, F.col("key") == F.col("_good"), "left")
     rows = rows.withColumn("trusted", F.col("_good").isNotNull()).drop("_good")
-    counts = stored(gram_counts(rows), "lm-grams")
-    return judged(stored(scored(rows, probabilities(counts)), "lm-scores"))
+    blocks = in_blocks(rows)
+    counts = stored(block_grams(blocks).groupBy("hi", "lo").agg(
+        F.collect_list("block").alias("blocks"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"),
+    ), "lm-grams")
+    table = probabilities(counts.drop("blocks"), ("0", "1"))
+    known = counts.select("hi", "lo", "blocks").join(table, ["hi", "lo"])
+    known = known.select(F.explode("blocks").alias("block"), "hi", "lo", "logp0", "logp1")
+    return judged(stored(scored_blocks(blocks, known), "lm-scores"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
