@@ -377,6 +377,11 @@ def test_mix(spark, docs):
     assert again.columns == docs.columns and again.filter("doc_id IS NULL").count() == 2
 
 
+def test_equal_rows_without_words_stay_rows(spark):
+    rows = [(None, None, "en", "s1", 0)] * 4 + [(None, "", "en", None, 0)] * 3 + [(7, "  ", "en", "s1", 2)] * 2 + [(8, "two words", "en", "s1", 9)] * 2
+    check_mix(mixing.mix(corpus.frame(spark, rows)).documents.collect(), rows)
+
+
 def test_mix_with_a_hot_source_and_capped_ones(spark):
     rows = [(i, f"w{i} " * (i % 700), "en", "hot" if i % 3 else f"s{i % 11}", 1) for i in range(900)] + [(i, "few words", "en", f"tiny{i % 5}", 1) for i in range(900, 920)]
     found = mixing.mix(corpus.frame(spark, rows), block_words=16, out_shards=8)

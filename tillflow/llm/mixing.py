@@ -189,6 +189,7 @@ def mix(
     """
     slim = stored(docs.select(
         F.col(key).alias("key"), word_count(text).alias("size"), F.col(source).cast("string").alias("source"),
+        F.monotonically_increasing_id().alias("row_no"),  # rows without words share their place on the axis
     ), "mix-rows")
     sources = stored(source_targets(slim), "mix-targets")
     same = slim["source"].eqNullSafe(sources["source"])
@@ -202,9 +203,9 @@ def mix(
     end = F.least(F.col("start") + F.col("size") - F.col("block") * block_words, F.col("words"))
     took = F.when(F.col("words").isNull(), F.lit(0)).otherwise(F.greatest(end - begin, F.lit(0)))
     pieces = found.withColumns({"begin": begin, "took": took.cast("long")})
-    documents = pieces.groupBy("key", "source_no", "start", "size", "source_size", "target").agg(
+    documents = pieces.groupBy("row_no", "key", "source_no", "start", "size", "source_size", "target").agg(
         F.coalesce(F.sum("took"), F.lit(0)).cast("long").alias("taken")
-    )
+    ).drop("row_no")
     return Mix(sources, taken, pieces, documents)
 
 
