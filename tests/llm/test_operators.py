@@ -393,6 +393,18 @@ def test_mix_with_a_hot_source_and_capped_ones(spark):
     assert words(copies) == pytest.approx(sum(len(corpus.words(r[1])) for r in rows), rel=0.1)
 
 
+def test_copies_keep_the_target_of_each_source(spark):
+    pick = random.Random(7)
+    rows = [(i, "w " * (3000 if i % 40 == 0 else pick.randint(1, 60)), "en", f"s{i % 7}", 1) for i in range(700)] + [(i, "w " * 2000, "en", "few", 1) for i in range(700, 703)]
+    wanted = {r.source: r.target for r in mixing.mix(corpus.frame(spark, rows)).sources.collect()}
+    taken, most = Counter(), Counter()
+    for r in mixing.repeated(corpus.frame(spark, rows)).collect():
+        taken[r.source] += len(corpus.words(r.text))
+    for r in rows:
+        most[r[3]] = max(most[r[3]], len(corpus.words(r[1])))
+    assert all(abs(taken[s] - t) <= most[s] + 1 for s, t in wanted.items())
+
+
 @pytest.mark.parametrize("size", [1, 2, 7, 100, 1000])
 def test_slots_are_permuted(spark, size):
     numbers = spark.range(size).select(mixing.permuted(F.col("id"), F.lit(size), F.lit(3)).alias("x"))

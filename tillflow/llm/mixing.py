@@ -29,6 +29,8 @@ ROUNDS = 24
 BUCKET_ROWS = 256
 SUPER_BUCKETS = 1024
 SLOT_CHUNK = 4096
+# Parts of one copy that shares are counted in.
+SHARE = 1 << 20
 
 
 def word_count(text: str) -> Column:
@@ -210,18 +212,31 @@ def mix(
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """`docs` as the mix has them: a row as often as it is taken.
+    """`docs` as the mix has them: a row as often as it is taken, whole.
 
-    A row's taken words over its size are its copies; the fraction left is one
-    copy more with just that chance, by a hash of the key, so that sources keep
-    their targets. Rows without words and rows with a null key stay once; rows of
-    one key share their copies alike.
+    A row's taken words over its size are its share of copies. Shares are added up
+    along each source, the smallest rows first, and a row's copies are the whole
+    numbers that it passes: since sizes never fall, a source misses its target by
+    less than its largest key. Rows without words and rows with a null key stay once;
+    rows of one key share their copies alike, and count for the first of their sources.
     """
     mixed = mix(docs.filter(F.col(key).isNotNull()), key, text, source).documents
-    chance = F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(1 << 30)) / (1 << 30)
-    copies = mixed.groupBy("key").agg(
-        F.when(F.sum("size") == 0, 1.0).otherwise(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("times")
-    ).select("key", F.floor(F.col("times") + chance).cast("int").alias("copies"))
+    keys = mixed.groupBy("key").agg(
+        F.min("source_no").alias("source_no"), F.sum("size").alias("size"), F.sum("taken").alias("taken"),
+    )
+    parts = partitions(docs.sparkSession)
+    share = F.round(F.col("taken") * SHARE / F.col("size")).cast("long")  # whole numbers, so that sums are exact
+    rows = placed(
+        keys.filter("size > 0").withColumn("share", share), parts,
+        [F.col("source_no"), F.col("size"), F.col("key")], "mix-shares",
+    )
+    offsets = with_offsets(rows, "source_no", F.sum("share")).select("source_no", "_part", "_before")
+    here = Window.partitionBy("source_no", "_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
+    summed = rows.withColumn("_here", F.sum("share").over(here)).join(offsets, ["source_no", "_part"])
+    # From one half on, so that the miss is shared by both sides.
+    end = F.col("_before") + F.col("_here") + SHARE // 2
+    passed = F.floor(end / SHARE) - F.floor((end - F.col("share")) / SHARE)
+    copies = summed.select("key", passed.cast("int").alias("copies"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     found = docs.select(F.col(key).alias("key"), row).join(copies, "key", "left")
     each = F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("copies"), F.lit(1))))
