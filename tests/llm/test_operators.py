@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -332,6 +333,16 @@ def test_chunk_maps_compose_in_any_grouping():
     assert left == right == own.scanned(maps)[-1] and own.total(left) == own.count("one two three four five")
 
 
+def test_texts_without_blanks_hold_no_prefixes():
+    own, text = token_counts.Transducer(WORDS), "ab1cd/" * 40_000
+    whole = own.count(text)
+    tracemalloc.start()
+    assert own.count(text, chunk_signs=256) == whole
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(text)  # all prefixes of the chunks are some 470 times the text
+
+
 # --- 7 -----------------------------------------------------------------------
 
 

@@ -10,8 +10,9 @@ that wait for the next sign. States are compiled when they are first reached.
 A text is cut into chunks. A chunk's state map is what it does to any state: the
 signs before its first blank still depend on the state before, the blank resets
 the machine, what follows counts a fixed number, and the open end is the state
-left behind. Maps compose, and a prefix scan over the chunks gives the count at
-the end of each of them.
+left behind. Maps compose pairwise to the map of the whole text. Head and tail
+are signs, not states: a text without a blank is one head as long as the text, and
+is counted in one run at the end.
 """
 
 from __future__ import annotations
@@ -276,6 +277,13 @@ class Transducer:
             step *= 2
         return maps
 
+    def folded(self, maps: list[ChunkMap]) -> ChunkMap:
+        """The composition of all maps, neighbours first: no prefix is kept, so the maps never hold more than the text."""
+        while len(maps) > 1:
+            pairs = zip(maps[::2], maps[1::2])
+            maps = [*(self.composed(a, b) for a, b in pairs), *maps[len(maps) - len(maps) % 2 :]]
+        return maps[0]
+
     def total(self, whole: ChunkMap) -> int:
         return whole.count + sum(self.counted(w) for w in (whole.head, whole.tail) if w)
 
@@ -285,8 +293,8 @@ class Transducer:
             return len(parts) - 1 + sum(self.count(p, chunk_signs) for p in parts if p)
         text = self.normalised(text)
         cuts = range(0, len(text), chunk_signs)
-        maps = self.scanned([self.chunk_map(text[i : i + chunk_signs]) for i in cuts])
-        return self.total(maps[-1]) if maps else 0
+        maps = [self.chunk_map(text[i : i + chunk_signs]) for i in cuts]
+        return self.total(self.folded(maps)) if maps else 0
 
 
 _transducers: dict[str, Transducer] = {}
