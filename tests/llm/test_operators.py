@@ -175,6 +175,13 @@ def test_scrambled_text_of_any_script_is_rejected(spark):
     assert not any(found[i] for i in range(120, 130)) and sum(found[i] for i in range(120)) >= 117
 
 
+def test_the_limit_is_the_quantile_itself(spark):
+    bits = [2 + i / 100 for i in range(100)]
+    rows = [(i, True, "en", 100_000, -b * 100_000) for i, b in enumerate(bits)] + [(100, False, "en", 100_000, -3.2 * 100_000)]
+    found = {r.key: r for r in quality.judged(spark.createDataFrame(rows, "key long, trusted boolean, lang string, signs long, logp double")).collect()}
+    assert not found[100].kept and sum(found[i].kept for i in range(100)) == 99
+
+
 def test_quality_rejects_junk_and_keeps_the_rest(spark, docs):
     pick = random.Random(4)
     vocabulary = ["".join(pick.choice("aeiounrst") for _ in range(pick.randint(2, 8))) for _ in range(300)]

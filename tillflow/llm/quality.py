@@ -12,7 +12,7 @@ the block's texts again. Texts fall into two halves by a hash, and each half is
 scored by the model of the other's trusted texts: so many n-grams would know the
 texts that they were counted in. A document's perplexity is the mean over its
 n-grams. A document is rejected if it is less likely than a quantile of the trusted documents
-of its language allows, and a margin beyond it.
+of its language allows.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ ORDER = 4
 # A sign is a code point; so many bits hold one, and LO_SIGNS of them fit one number.
 SIGN_BITS, LO_SIGNS = 21, 3
 SIGNS, CODES = 1 << SIGN_BITS, 0x110000
-# The quantile of trusted documents, and how far beyond it, in parts of its distance from the median, is still kept.
-QUANTILE, MARGIN = 0.99, 1.0
+# The quantile of trusted documents up to which all are kept.
+QUANTILE = 0.99
 # A document counts as so many signs of its language's median more; bins of a unit of log perplexity.
 PRIOR_SIGNS, BINS = 40, 1000
 # Signs that a worker takes at a time, bytes of texts in a block, and ids that are broadcast at most.
@@ -323,12 +323,11 @@ def judged(scores: DataFrame) -> DataFrame:
     known = known.withColumn("pulled", F.when(
         F.col("signs") > 0, (-F.col("logp") + PRIOR_SIGNS * F.col("median")) / (F.col("signs") + PRIOR_SIGNS)
     ))
-    limits = stored(_quantile(known.filter("trusted AND signs > 0"), "pulled", {"mid": 0.5, "high": QUANTILE}), "lm-limits")
+    limits = stored(_quantile(known.filter("trusted AND signs > 0"), "pulled", {"high": QUANTILE}), "lm-limits")
     of_all = limits.filter("_all").first()
-    limit = F.col("high") + MARGIN * (F.col("high") - F.col("mid"))
-    every = None if of_all is None else of_all["high"] + MARGIN * (of_all["high"] - of_all["mid"])
+    every = None if of_all is None else of_all["high"]
     return join(known, limits).withColumns({
-        "perplexity": F.exp("pulled"), "limit": F.exp(F.coalesce(limit, F.lit(every).cast("double"))),
+        "perplexity": F.exp("pulled"), "limit": F.exp(F.coalesce("high", F.lit(every).cast("double"))),
     }).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("limit"), F.lit(True))).select(
         "key", "lang", "trusted", "signs", "perplexity", "limit", "kept"
     )
