@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import (
-    embedding_dedup, exact_dedup, language_id, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
+    embedding_dedup, exact_dedup, language_id, merkle_manifest, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
     token_output,
 )
 from tillflow.llm.common import table
@@ -122,3 +122,67 @@ FROM embeddings e JOIN reach r ON r.a = e.vec_id
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
 GROUP BY e.vec_id
 """
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    rows = merkle_manifest.tampered(documents(spark, sf_dir))
+    return rows.drop("copies").withColumnRenamed("key", "doc_id")
+
+
+ORACLE["op11_merkle_manifest"] = """
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree,
+        sha256(concat(i, s, l, n, coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+        sha256(concat(i, s, l, n, coalesce(strlen(text) || ':' || translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))) AS lowered,
+        list_reduce(list_transform(str_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+            lambda crc, byte: list_reduce(range(8), lambda c, k:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(crc, byte)), 4294967295) AS crc
+    FROM (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') AS i,
+              coalesce(strlen(source) || ':' || source, '-') AS s, coalesce(strlen(lang) || ':' || lang, '-') AS l,
+              coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS n FROM documents)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+        coalesce(xor(crc, 4294967295) % 3 = 0, false) AS changed
+    FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM placed
+    UNION ALL
+    SELECT tree, level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+    FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 8, n
+), subroots AS (
+    SELECT tree, digest, level AS height, row_number() OVER (ORDER BY tree) - 1 AS top_pos FROM nodes WHERE n = 1
+), crown AS (
+    SELECT 0 AS level, top_pos AS pos, digest, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+    FROM crown WHERE n > 1 GROUP BY level, pos // 8, n
+), everything AS (
+    SELECT tree, level, pos, digest FROM nodes WHERE n > 1
+    UNION ALL
+    SELECT tree, height + level, pos, crown.digest FROM crown CROSS JOIN (SELECT tree, height FROM subroots) WHERE n > 1
+), steps AS (
+    SELECT p.tree, p.pos AS row_pos, h.level,
+        CASE WHEN h.level < s.height THEN p.pos ELSE s.top_pos END
+            // CAST(pow(8, h.level - CASE WHEN h.level < s.height THEN 0 ELSE s.height END) AS BIGINT) AS pos
+    FROM placed p JOIN subroots s USING (tree) JOIN (SELECT DISTINCT tree, level FROM everything) h USING (tree)
+), siblings AS (
+    SELECT t.tree, t.row_pos, t.level, coalesce(string_agg(e.digest, '' ORDER BY e.pos) FILTER (e.pos < t.pos), '') AS before,
+        coalesce(string_agg(e.digest, '' ORDER BY e.pos) FILTER (e.pos > t.pos), '') AS after
+    FROM steps t JOIN everything e ON e.tree = t.tree AND e.level = t.level AND e.pos // 8 = t.pos // 8
+    GROUP BY t.tree, t.row_pos, t.level
+), folds AS (
+    SELECT tree, pos, 0 AS level, CASE WHEN changed THEN lowered ELSE leaf END AS digest FROM placed
+    UNION ALL
+    SELECT f.tree, f.pos, f.level + 1, sha256(concat(s.before, f.digest, s.after))
+    FROM folds f JOIN siblings s ON s.tree = f.tree AND s.row_pos = f.pos AND s.level = f.level
+)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, coalesce(q.proof, sha256('')) AS proof_sha256,
+    f.digest AS folded_root, f.digest = r.digest AS verified
+FROM placed p JOIN subroots s USING (tree) CROSS JOIN (SELECT digest FROM crown WHERE n = 1) r
+JOIN (SELECT tree, pos, max_by(digest, level) AS digest FROM folds GROUP BY tree, pos) f ON f.tree = p.tree AND f.pos = p.pos
+LEFT JOIN (
+    SELECT tree, row_pos, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM siblings GROUP BY tree, row_pos
+) q ON q.tree = p.tree AND q.row_pos = p.pos
+"""
