@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillflow.llm import (
-    embedding_dedup, exact_dedup, language_id, merkle_manifest, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
+    collocations, embedding_dedup, exact_dedup, language_id, license_scan, merkle_manifest, mixing, ngram_join, quality, sentencepiece_codec, sharding, token_counts,
     token_output,
 )
 from tillflow.llm.common import table
@@ -186,3 +186,49 @@ LEFT JOIN (
     SELECT tree, row_pos, sha256(string_agg(before || after, '' ORDER BY level)) AS proof FROM siblings GROUP BY tree, row_pos
 ) q ON q.tree = p.tree AND q.row_pos = p.pos
 """
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir)).withColumnRenamed("name", "lang")
+
+
+ORACLE["op12_collocations"] = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\x0C\r]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), phrases AS (
+    SELECT lang, w[i : i + m] AS p, count(*) AS f
+    FROM starts CROSS JOIN (SELECT unnest(range(0, 5)) AS m) WHERE i + m <= len(w) GROUP BY 1, 2 HAVING count(*) >= 100
+), candidates AS (
+    SELECT lang, p, f AS a FROM phrases WHERE len(p) > 1
+), absorbed AS (
+    SELECT lang, p[s : s + m] AS p, max(a) AS longer
+    FROM candidates CROSS JOIN (SELECT unnest(range(1, 5)) AS m) CROSS JOIN (SELECT unnest(range(1, 6)) AS s)
+    WHERE s + m <= len(p) AND m + 1 < len(p) GROUP BY 1, 2
+), cuts AS (
+    SELECT c.lang, c.p, c.a, t.n, k, x.f AS l, y.f AS r,
+        1000 * CAST(c.a AS HUGEINT) * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM candidates c JOIN totals t USING (lang) CROSS JOIN (SELECT unnest(range(1, 5)) AS k)
+    JOIN phrases x ON x.lang = c.lang AND x.p = c.p[1 : k] JOIN phrases y ON y.lang = c.lang AND y.p = c.p[k + 1 :]
+    LEFT JOIN absorbed b ON b.lang = c.lang AND b.p = c.p
+    WHERE k < len(c.p) AND NOT coalesce(100 * b.longer >= 100 * c.a, false)
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_license_scan(spark, sf_dir):
+    return license_scan.scan(documents(spark, sf_dir)).withColumnRenamed("key", "doc_id")
