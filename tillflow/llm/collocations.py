@@ -266,8 +266,10 @@ def group_of_cells(leaf_prefixes: DataFrame, budget: int) -> np.ndarray:
 def grouped_suffixes(
     docs: DataFrame, seed: int, frequent: Broadcast, pairs: Broadcast, heavy: list[Broadcast], groups: Broadcast
 ) -> DataFrame:
-    """Every suffix with its count, the group that its prefix is in, and the words that its prefix has."""
-    names = [f"w{d}" for d in range(LONGEST)]
+    """All suffixes by the group that their prefix is in: for each task's slice of words and group one row, packed.
+
+    A packed suffix is LONGEST + 2 numbers: its words, its count, the words that its prefix has.
+    """
 
     def read(batch):
         _, rows = Pairs(batch, seed, frequent.value, pairs.value).suffixes()
@@ -280,16 +282,21 @@ def grouped_suffixes(
         rows = rows[heads]
         prefixes = _prefix_hashes(rows)
         depth = _split_depths(rows, prefixes, [h.value for h in heavy])
-        last = prefixes[np.arange(len(rows)), depth - 1]
+        group = groups.value[prefixes[np.arange(len(rows)), depth - 1] >> np.uint64(64 - CELL_BITS)]
+        packed_rows = np.column_stack([rows.view(np.int64), n, depth])
+        order = np.argsort(group, kind="stable")
+        packed_rows, group = packed_rows[order], group[order]
+        starts = _runs(group)
+        ends = np.append(starts[1:], len(group))
         yield record_batch([
-            ("g", pa.int32(), groups.value[last >> np.uint64(64 - CELL_BITS)]), ("depth", pa.int32(), depth), ("n", pa.int64(), n),
-            *[(name, pa.int64(), _signed(np.ascontiguousarray(rows[:, d]))) for d, name in enumerate(names)],
+            ("g", pa.int32(), group[starts]),
+            ("suffixes", pa.binary(), [packed_rows[a:b].tobytes() for a, b in zip(starts, ends)]),
         ])
 
     def run(batches):
         return _slices(batches, read, make)
 
-    return docs.mapInArrow(run, "g int, depth int, n long, " + ", ".join(f"{name} long" for name in names))
+    return docs.mapInArrow(run, "g int, suffixes binary")
 
 
 def subtree_counts(suffixes: DataFrame, least: int) -> DataFrame:
@@ -298,11 +305,11 @@ def subtree_counts(suffixes: DataFrame, least: int) -> DataFrame:
     Nodes no deeper than a group's prefixes can lie in other groups too; their parts are added up.
     """
 
-    def build(suffixes: pa.Table) -> pa.Table:
-        rows = np.stack([suffixes[f"w{d}"].to_numpy() for d in range(LONGEST)], axis=1)
+    def build(group: pa.Table) -> pa.Table:
+        found = np.concatenate([np.frombuffer(part.as_py(), dtype=np.int64).reshape(-1, LONGEST + 2) for part in group["suffixes"]])
+        rows, leaves, depth = found[:, :LONGEST], found[:, LONGEST], found[:, LONGEST + 1]
         order = np.lexsort(rows.T[::-1])
-        rows, leaves = rows[order], suffixes["n"].to_numpy()[order]
-        depth = suffixes["depth"].to_numpy()[order]
+        rows, leaves, depth = rows[order], leaves[order], depth[order]
         phrases, counts = [], []
         new = np.zeros(len(rows), dtype=bool)
         new[:1] = True
