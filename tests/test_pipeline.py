@@ -164,7 +164,7 @@ def test_a_batch_that_dies_before_the_switch_is_finished_from_its_work_folder(sh
     publish = tables.SlicedTable.publish
 
     def torn(self, *arguments):
-        if self.slice_column == "_slice":
+        if self == layout.orders:
             raise OSError("lost the driver")
         publish(self, *arguments)
 
@@ -233,10 +233,85 @@ def test_an_order_on_two_far_dates_is_refused_whole(shop):
     layout.orders.stage(double, "double")
     layout.orders.publish(spark, "double", double.select("_slice"))
     with pytest.raises(validate.ValidationError, match="repeats order ids"):
-        pipeline.refresh_gold(spark, layout, "t")
+        pipeline.refresh_gold(spark, layout, "t", full=True)
     assert shop.gold() == [] and layout.queue.pending(spark).count() == 1500
 
 
+def test_gold_moves_by_changes_and_reads_no_orders(shop, monkeypatch):
+    """A late file moves the cells it touches; Silver's rows are not read for it."""
+    spark, layout = shop.spark, shop.layout
+    for day in sorted(samples.DAYS)[:2]:
+        shop.drop(day)
+        shop.run()
+    asked, read = [], pipeline.read_orders_on
+
+    def watched(session, where, dates):
+        asked.append(dates.count())
+        return read(session, where, dates)
+
+    stamps = {tuple(r)[:3]: r._refreshed_at for r in pipeline.read_gold(spark, layout).collect()}
+    shop.drop("2024-01-03")
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "read_orders_on", watched)
+        shop.run()
+    assert shop.gold() == samples.expected_gold("B") and set(asked) == {0}
+    assert layout.changes.parts(spark) == []
+    touched = {r.order_date for r in pipeline.read_gold(spark, layout).collect() if stamps.get(tuple(r)[:3]) != r._refreshed_at}
+    assert {r.order_date for r in pipeline.read_gold(spark, layout).collect()} - touched
+    assert pipeline.refresh_gold(spark, layout, "again") == 0
+
+
+def test_cells_that_do_not_tie_out_are_counted_anew(shop, monkeypatch):
+    """Gold or Silver changed by other hands, and a refresh that died in its switch: Silver decides."""
+    spark, layout = shop.spark, shop.layout
+    shop.drop("2024-01-01")
+    shop.run()
+    bent = layout.gold.read(spark).withColumn("net_revenue", F.col("net_revenue") + 1)
+    layout.gold.stage(bent, "bent")
+    layout.gold.publish(spark, "bent", bent.select("_slice").distinct())
+    shop.drop("2024-01-02")
+    shop.run()
+    assert [row for row in shop.gold() if row[0] == date(2024, 1, 2)] == [row for row in samples.expected_gold("A") if row[0] == date(2024, 1, 2)]
+    pipeline.rebuild_in_full(layout, layout.orders.read(spark).select("order_date").distinct())
+    pipeline.refresh_gold(spark, layout, "t")
+    assert shop.gold() == samples.expected_gold("A")
+
+    shop.drop("2024-01-03")
+    clear = tables.RefreshQueue.clear
+
+    def torn(self, entries):
+        raise OSError("lost the driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables.RefreshQueue, "clear", torn)
+        with pytest.raises(OSError, match="lost the driver"):
+            shop.run()
+    assert tables.exists(spark, layout.gold_open) and layout.changes.parts(spark)
+    shop.run()
+    assert clear is tables.RefreshQueue.clear
+    assert shop.gold() == samples.expected_gold("B") and not tables.exists(spark, layout.gold_open)
+
+
+def test_every_gold_audit_row_has_the_balance(shop):
+    """Summed up batch by batch it is what a count of all ids gives: also for ids rejected first and loaded later."""
+    spark, layout = shop.spark, shop.layout
+    files = [
+        "O1,2024-01-01,C1,P001,1,2.00,East\nO2,bad,C1,P001,1,2.00,East\n ,2024-01-01,C1,P001,1,2.00,East\nO3,bad,C1,P001,1,1.00,East",
+        "O2,2024-01-02,C1,P001,1,2.00,East\nO1,bad,C1,P001,1,2.00,East\nO4,bad,C1,P001,1,2.00,East\nO4,2024-01-02,C1,P001,1,2.00,East",
+        "O3 ,2024-01-03,C1,P001,x,2.00,East\nO5,2024-01-03,C1,P001,1,2.00,East\nO5,2024-01-03,C1,P001,2,2.00,East",
+    ]
+    for n, lines in enumerate(files, 1):
+        shop.drop(f"2024-01-0{n}", lines)
+        shop.run()
+        gold = layout.audit.read(spark).filter("stage = 'gold'").orderBy(F.desc("run_ts")).first()
+        from tillflow.operators import reconcile
+        whole = reconcile.row_balance(pipeline.read_bronze(spark, layout), layout.orders.read(spark), layout.quarantine.read(spark)).first()
+        assert (gold.rows_in, gold.rows_loaded, gold.rows_quarantined) == (whole.rows_in, whole.loaded, whole.quarantined)
+        assert "balanced=True" in gold.notes and f"rows without id {whole.missing_id_rows}" in gold.notes
+    shop.run(rebuild=True)
+    assert reconcile.balance_so_far(layout.audit.read(spark)).first() == whole
+
+
 def test_a_batch_of_rejects_only(shop):
     shop.drop("2024-01-01", "O1,bad,C1,P001,1,2.00,East\nO1,bad,C1,P001,1,2.00,East")
     shop.run()

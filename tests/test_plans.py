@@ -13,6 +13,7 @@ from tillflow.operators.retail import countries, extracts, lines, negatives
 from tillflow.plans import pipeline, report, views
 from tillflow.plans.catalogue import QUERIES
 from tillflow.plans.pipeline import Layout
+from tillflow.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,6 +59,78 @@ def test_rebuild_reads_only_the_slices_of_its_dates(spark, root):
     assert cells.count("Exchange hashpartitioning") == 1
 
 
+def files_read(frame) -> int:
+    """Files that the scans of a frame open when it is collected."""
+    frame.collect()
+    count = 0
+
+    def walk(node):
+        nonlocal count
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "FileSourceScanExec":
+            count += node.metrics().apply("numFiles").value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(frame._jdf.queryExecution().executedPlan())
+    return count
+
+
+def test_a_small_batch_opens_only_slices_that_may_hold_its_orders(spark, root):
+    """A thousand slices, three orders: their buckets of the index, and the three slices they were in."""
+    from pyspark.sql import types as T
+
+    from tillflow import schemas
+    from tillflow.operators import refresh
+
+    layout = Layout(root)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.SILVER_ORDERS if f.name not in ("order_id", "order_date")]
+    rows = spark.range(1000).select(
+        F.concat(F.lit("O"), "id").alias("order_id"), F.date_add(F.lit(date(2020, 1, 1)), F.col("id").cast("int")).alias("order_date"), *empty
+    )
+    layout.orders.stage(layout.silver.with_slice(rows), "first")
+    layout.orders.publish(spark, "first", layout.orders.staged(spark, "first").select("_slice").distinct())
+    layout.index.add(layout.orders.read(spark).select("order_id", "_slice"), "first")
+    batch = spark.createDataFrame([("O5",), ("O77",), ("O999",), ("new",)], "order_id STRING")
+    batch.coalesce(1).write.parquet(f"{root}/batch")
+    batch = spark.read.schema("order_id STRING").parquet(f"{root}/batch")
+    found = layout.index.find(batch)
+    assert files_read(found) <= 2 + 4
+    assert sorted(r.order_id for r in found.collect()) == ["O5", "O77", "O999"]
+    found.select("_slice").coalesce(1).write.parquet(f"{root}/slices")
+    near = layout.orders.read(spark, spark.read.schema(T.StructType().add("_slice", "date")).parquet(f"{root}/slices"))
+    held = refresh.held_versions(near.select(*schemas.SILVER_ORDERS.names), batch)
+    assert held.count() == 3
+    places = len(layout.orders._places.read(spark).inputFiles())
+    assert files_read(held) <= 3 + 2 * places + 3
+
+
+def test_gold_slices_are_few_files_in_date_order(spark, root):
+    layout = pipeline.Layout(root, slice_unit="month")
+    cells = spark.range(20_000).select(
+        F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") % 365).cast("int")).alias("order_date"), F.lit("c").alias("category"),
+        F.concat(F.lit("r"), F.col("id") % 50).alias("region"), F.lit(1).cast("decimal(18,2)").alias("net_revenue"),
+        F.lit(1).cast("long").alias("order_count"), F.lit(1).cast("long").alias("units_sold"), F.lit(1).cast("decimal(18,2)").alias("aov"),
+        F.current_timestamp().alias("_refreshed_at"),
+    ).withColumn("_slice", layout.gold_slice())
+    assert layout.gold.stage(cells, "f", n=F.count("*")) == {"n": 20_000}
+    layout.gold.publish(spark, "f", cells.select("_slice").distinct())
+    stored = layout.gold.read(spark)
+    assert len(stored.inputFiles()) <= 12 + 8
+    assert stored.count() == 20_000 and layout.gold.slice_totals(spark).agg(F.sum("orders")).first()[0] == 20_000
+
+
+def test_writes_count_what_they_write(spark, root):
+    frame = spark.range(100).repartition(5)
+    assert tables.write_counted(frame, f"{root}/a", n=F.count("*"), odd=F.count_if(F.col("id") % 2 == 1)) == {"n": 100, "odd": 50}
+    assert not any(tables.write_counted(frame.filter("id < 0"), f"{root}/b", n=F.count("*")).values())
+
+
 def test_cleaning_costs_one_shuffle_and_the_total_reuses_it(spark):
     ledger = extracts.row_ledger(extracts.pair_extracts(views.retail_extracts(spark, SF_DIR)))
     assert plan(extracts.cleaning_audit(ledger)).count("Exchange hashpartitioning") == 1

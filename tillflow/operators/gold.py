@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillflow import schemas
 from tillflow.functions.parsing import UNKNOWN
 from tillflow.functions.retail import average
 
@@ -44,6 +45,42 @@ def daily_sales(orders: DataFrame, products: DataFrame, unique_orders: bool = Fa
     )
 
 
+SUMS = ["net_revenue", "order_count", "units_sold"]
+
+
+def cell_changes(changes: DataFrame, products: DataFrame) -> DataFrame:
+    """By how much order changes move each cell's sums; cells whose sums stay are left out.
+
+    Every sum of a cell adds up over orders, whose ids are unique, so a retracted
+    version counts as minus one order.
+    """
+    sign = F.when(F.col("kind") == schemas.RETRACTED, -1).otherwise(1)
+    categories = products.select("product_id", F.col("category").alias("_category"))
+    return (
+        changes.filter(F.col("kind").isin(schemas.RETRACTED, schemas.ADDED)).join(categories, "product_id", "left")
+        .withColumns({"category": F.coalesce("_category", F.lit(UNKNOWN)), "_sign": sign})
+        .groupBy(*CELL)
+        .agg(
+            F.sum(F.col("line_revenue") * F.col("_sign")).cast("decimal(18,2)").alias("net_revenue"),
+            F.sum("_sign").cast("bigint").alias("order_count"),
+            F.sum(F.col("quantity") * F.col("_sign")).cast("bigint").alias("units_sold"),
+        )
+        .filter(" OR ".join(f"{name} <> 0" for name in SUMS))
+    )
+
+
+def apply_changes(cells: DataFrame, moved: DataFrame) -> DataFrame:
+    """Cells with their sums moved; those that no order is left in are gone."""
+    columns = [*CELL, *SUMS]
+    sums = cells.select(*columns).unionByName(moved.select(*columns)).groupBy(*CELL).agg(
+        F.sum("net_revenue").cast("decimal(18,2)").alias("net_revenue"),
+        *[F.sum(name).cast("bigint").alias(name) for name in SUMS[1:]],
+    )
+    return sums.filter("order_count <> 0").withColumn(
+        "aov", average(F.col("net_revenue").cast("decimal(24,2)"), F.col("order_count"), "decimal(18,2)")
+    )
+
+
 def sales_report(gold: DataFrame) -> DataFrame:
     columns = [*CELL, "net_revenue", "order_count", "units_sold", "aov"]
     return gold.select(*columns).orderBy(*CELL)

@@ -32,17 +32,24 @@ def gold_rules() -> dict[str, Column]:
 
 def contract_violations(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row: for each rule, how many rows do not satisfy it. Unknown is not satisfied."""
-    return frame.agg(
-        *[F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()]
-    )
+    return frame.agg(*[count.alias(name) for name, count in violation_counts(rules).items()])
 
 
-def enforce_contract(frame: DataFrame, rules: dict[str, Column], table: str) -> None:
-    broken = {name: n for name, n in contract_violations(frame, rules).first().asDict().items() if n}
+def violation_counts(rules: dict[str, Column]) -> dict[str, Column]:
+    """The rules as aggregates, to be observed while rows are written."""
+    return {name: F.count_if(~F.coalesce(rule, F.lit(False))) for name, rule in rules.items()}
+
+
+def refuse_violations(found: dict[str, int | None], table: str) -> None:
+    broken = {name: n for name, n in found.items() if n}
     if broken:
         raise ValidationError(f"{table}: rows break the contract: {broken}")
 
 
+def enforce_contract(frame: DataFrame, rules: dict[str, Column], table: str) -> None:
+    refuse_violations(contract_violations(frame, rules).first().asDict(), table)
+
+
 def order_stats(orders: DataFrame) -> DataFrame:
     """Revenue, rows, repeated order ids and rows with a required field missing."""
     missing = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in REQUIRED_ORDER_FIELDS])
@@ -76,6 +83,11 @@ def gate(orders: DataFrame, candidate: DataFrame) -> Row:
     return cells
 
 
+def ties_out(silver: Row, candidate: Row) -> bool:
+    """Whether the totals that Silver keeps for its slices are those of a candidate for the same dates."""
+    return silver.net_revenue == candidate.net_revenue and silver.orders == candidate.orders
+
+
 def verify_published(published: DataFrame, expected: Row) -> None:
     """Check after publishing; the caller keeps its queue entries when this raises."""
     found = cell_stats(published).first()

@@ -182,18 +182,31 @@ def _replace_orders(spark: SparkSession, layout: pipeline.Layout, orders: DataFr
 
 @query
 def gold_pipeline(spark, sf_dir):
-    return _stored_gold(spark, sf_dir).gold.read(spark).drop("_refreshed_at")
+    return pipeline.read_gold(spark, _stored_gold(spark, sf_dir)).drop("_refreshed_at")
 
 
 @query
 def incremental_gold(spark, sf_dir):
-    """Stored Gold, of which only the dates that a batch touched are rebuilt; the oracle recomputes everything."""
+    """Stored Gold, whose cells are moved by the changes that a batch makes; the oracle recomputes everything."""
     layout = _stored_gold(spark, sf_dir)
     held, incoming = _held_and_incoming(spark, sf_dir)
+    layout.changes.put(upsert.order_changes(upsert.winning_versions(held, incoming)), "incoming")
     layout.queue.add(refresh.affected_dates(held, incoming))
     _replace_orders(spark, layout, upsert.upsert_orders(held, incoming))
     pipeline.refresh_gold(spark, layout, "query")
-    return layout.gold.read(spark).drop("_refreshed_at")
+    return pipeline.read_gold(spark, layout).drop("_refreshed_at")
+
+
+@query
+def order_changes(spark, sf_dir):
+    held, incoming = _held_and_incoming(spark, sf_dir)
+    return upsert.order_changes(upsert.winning_versions(held, incoming))
+
+
+@query
+def gold_changes(spark, sf_dir):
+    """By how much a batch moves each Gold cell, from its changes alone; the oracle takes the difference of two whole Golds."""
+    return gold.cell_changes(order_changes(spark, sf_dir), views.products(spark, sf_dir))
 
 
 # --- streams ---------------------------------------------------------------

@@ -497,6 +497,21 @@ ORACLE: dict[str, str] = {
         FROM ({TOTALS})""",
         PRODUCTS, SILVER, cells("cells", "silver"),
     ),
+    "order_changes": over_sales(
+        """SELECT t.order_date, t.product_id, t.region, t.quantity, t.line_revenue, 'retract' AS kind
+        FROM held t JOIN versions_met ON t.order_id = t_id WHERE s_id IS NOT NULL AND source_wins
+        UNION ALL SELECT s.order_date, s.product_id, s.region, s.quantity, s.line_revenue, 'add'
+        FROM incoming_orders s JOIN versions_met ON s.order_id = s_id WHERE t_id IS NULL OR source_wins""",
+        HELD, INCOMING, UPSERTED,
+    ),
+    "gold_changes": over_sales(
+        """SELECT order_date, category, region, CAST(sum(net_revenue) AS DECIMAL(18,2)) AS net_revenue,
+          CAST(sum(order_count) AS BIGINT) AS order_count, CAST(sum(units_sold) AS BIGINT) AS units_sold FROM (
+          SELECT order_date, category, region, net_revenue, order_count, units_sold FROM new_cells
+          UNION ALL SELECT order_date, category, region, -net_revenue, -order_count, -units_sold FROM old_cells)
+        GROUP BY ALL HAVING sum(net_revenue) <> 0 OR sum(order_count) <> 0 OR sum(units_sold) <> 0""",
+        PRODUCTS, HELD, INCOMING, UPSERTED, cells("old_cells", "held"), cells("new_cells", "upserted"),
+    ),
     "snapshot_diff": over_sales(
         """SELECT order_date, category, region, net_revenue, order_count, units_sold, aov,
           CAST(sum(b) AS BIGINT) AS copies_before, CAST(sum(a) AS BIGINT) AS copies_after FROM (

@@ -62,6 +62,7 @@ QUARANTINE = _struct(
     _ingested_at="timestamp",
     _quarantined_at="timestamp",
 )
+QUARANTINE_PARTITION = "_batch_date"
 
 SILVER_PRODUCTS = _struct(
     product_id="string", product_name="string", category="string", list_price="decimal(12,2)", _ingested_at="timestamp"
@@ -80,6 +81,21 @@ GOLD_DAILY_SALES = _struct(
     _refreshed_at="timestamp",
 )
 
+# One version of an order that leaves Silver or enters it; `kind` says which, or asks for a date to be rebuilt.
+RETRACTED, ADDED, REBUILD = "retract", "add", "rebuild"
+ORDER_CHANGES = _struct(
+    order_date="date",
+    product_id="string",
+    region="string",
+    quantity="integer",
+    line_revenue="decimal(14,2)",
+    kind="string",
+)
+# Which slice an order id was loaded into; no slice for an id that was rejected.
+ORDER_INDEX = _struct(order_id="string", _slice="date")
+
+# By how much a Silver batch changes the numbers of distinct order ids, and its rejects without an id.
+BALANCE_COUNTS = _struct(ids_in="long", ids_loaded="long", ids_quarantined="long", rows_without_id="long")
 # What a Silver batch counts.
 AUDIT_COUNTS = _struct(
     rows_in="long",
@@ -89,6 +105,7 @@ AUDIT_COUNTS = _struct(
     rows_quarantined="long",
     net_revenue="decimal(18,2)",
     dates_affected="long",
+    **{field.name: "long" for field in BALANCE_COUNTS},
 )
 RUN_AUDIT = _struct(
     run_id="string",
@@ -104,6 +121,7 @@ RUN_AUDIT = _struct(
     dates_affected="long",
     dates_queued="long",
     batch="string",
+    **{field.name: "long" for field in BALANCE_COUNTS},
 )
 
 # Retail extract: source header -> column name.

@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Folders of slices are listed by this many tasks, not by one for each folder.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
 }
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +43,32 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Put an empty file here, for `exists` to find."""
+    files, at = _file_system(spark, path)
+    files.create(at, True).close()
+
+
+def observed(frame: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict]]:
+    """`frame`, and a function that gives aggregates of its rows once it was written.
+
+    Put right under the write they are counted in the tasks whose output counts: no
+    further scan, and a task that runs twice counts once.
+    """
+    if not metrics:
+        return frame, dict
+    seen = Observation()
+    frame = frame.observe(seen, *[value.alias(name) for name, value in metrics.items()])
+    return frame, lambda: {name: seen.get.get(name) for name in metrics}
+
+
+def write_counted(frame: DataFrame, path: str, **metrics: Column) -> dict:
+    """Write a work folder and return aggregates of what was written."""
+    frame, counts = observed(frame, metrics)
+    frame.write.mode("overwrite").parquet(path)
+    return counts()
+
+
 def conform(frame: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast to the declared schema; the columns must be exactly the declared ones."""
     if set(frame.columns) != set(schema.names):
@@ -64,6 +92,92 @@ class AppendTable:
         conform(frame, self.schema).write.mode("append").parquet(self.path)
 
 
+@dataclass(frozen=True)
+class PartedTable:
+    """A table that grows part by part. Writing a part again replaces it, so a batch may try as often as it needs to.
+
+    `partition` names a column by which the files of a part lie in folders.
+    """
+
+    path: str
+    schema: T.StructType
+    partition: str | None = None
+
+    def _folder(self, part: str) -> str:
+        return f"{self.path}/_part={part}"
+
+    def parts(self, spark: SparkSession) -> list[str]:
+        found = [name.removeprefix("_part=") for name in child_names(spark, self.path) if name.startswith("_part=")]
+        return sorted(part for part in found if is_complete(spark, self._folder(part)))
+
+    def read(self, spark: SparkSession, parts: list[str] | None = None) -> DataFrame:
+        chosen = self.parts(spark) if parts is None else parts
+        if not chosen:
+            return spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields]).add("_part", "string")
+        found = spark.read.schema(stored).option("basePath", self.path).parquet(*map(self._folder, chosen))
+        return found.select(*self.schema.names)
+
+    def put(self, frame: DataFrame, part: str, **metrics: Column) -> dict:
+        """Write a part; returns aggregates of its rows, as write_counted does."""
+        rows = conform(frame, self.schema)
+        rows, counts = observed(rows.hint("rebalance", self.partition) if self.partition else rows, metrics)
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(self._folder(part))
+        return counts()
+
+    def forget(self, spark: SparkSession, parts: list[str]) -> None:
+        for part in parts:
+            discard(spark, self._folder(part))
+
+
+@dataclass(frozen=True)
+class KeyIndex:
+    """In which slices of a table a key may lie, in buckets of the key's hash.
+
+    A look-up opens only the buckets of the keys it asks for. A key keeps the slices
+    that it had before, so what is found may be too much, but never too little. A
+    null slice stands for a key that was seen but is in no slice.
+    """
+
+    path: str
+    key: str
+    slice_column: str = "_slice"
+    buckets: int = 32
+    # Parts after which they are merged into one.
+    most_parts: int = 16
+
+    @property
+    def _table(self) -> PartedTable:
+        schema = T.StructType().add(self.key, "string").add(self.slice_column, "date").add("_bucket", "integer")
+        return PartedTable(self.path, schema, "_bucket")
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def is_empty(self, spark: SparkSession) -> bool:
+        return not self._table.parts(spark)
+
+    def add(self, entries: DataFrame, part: str) -> None:
+        """Add (key, slice) pairs as a part of that name, in place of what it held."""
+        self._table.put(entries.select(self.key, self.slice_column).withColumn("_bucket", self._bucket()), part)
+
+    def find(self, keys: DataFrame) -> DataFrame:
+        """The distinct (key, slice) pairs of `keys`, a stored frame of distinct keys."""
+        wanted = keys.select(self.key).filter(F.length(self.key) >= 0)
+        # One row for each bucket at most.
+        buckets = F.broadcast(wanted.select(self._bucket().alias("_bucket")).distinct())
+        held = self._table.read(keys.sparkSession).join(buckets, "_bucket", "left_semi")
+        return held.join(wanted, self.key, "left_semi").select(self.key, self.slice_column).distinct()
+
+    def compact(self, spark: SparkSession) -> None:
+        """Merge the parts into one when they have become many. Dying half way leaves pairs twice, which changes nothing."""
+        parts = self._table.parts(spark)
+        if len(parts) > self.most_parts:
+            self._table.put(self._table.read(spark, parts).distinct(), f"merged-{uuid.uuid4().hex}")
+            self._table.forget(spark, parts)
+
+
 @dataclass(frozen=True)
 class SnapshotTable:
     """A table replaced as a whole, each state in a folder of its own.
@@ -112,16 +226,23 @@ class SlicedTable:
     switches a small table of (slice, folder) to them. The switch is one commit of
     that table: a reader sees all of a replacement or none of it. A slice that
     becomes empty loses its entry, so its rows are gone without being rewritten.
+
+    `totals` (name, SQL aggregate, type) are kept for every slice beside its folder.
+    With `sort_columns` rows are clustered: files are ranges of slice and columns.
     """
 
     path: str
     schema: T.StructType
     slice_column: str
     sort_columns: tuple[str, ...] = ()
+    totals: tuple[tuple[str, str, str], ...] = ()
 
     @property
     def _places(self) -> SnapshotTable:
-        return SnapshotTable(f"{self.path}/places", T.StructType().add(self.slice_column, "date").add("_folder", "string"))
+        schema = T.StructType().add(self.slice_column, "date").add("_folder", "string")
+        for name, _, kind in self.totals:
+            schema = schema.add(name, kind)
+        return SnapshotTable(f"{self.path}/places", schema)
 
     @property
     def _data(self) -> str:
@@ -134,7 +255,7 @@ class SlicedTable:
 
     def _at(self, spark: SparkSession, places: DataFrame) -> DataFrame:
         # The comparison holds for every date. It makes the few places a filter that prunes the folders.
-        wanted = places.filter(F.col(self.slice_column) >= F.lit(FIRST_DATE).cast("date"))
+        wanted = places.select(self.slice_column, "_folder").filter(F.col(self.slice_column) >= F.lit(FIRST_DATE).cast("date"))
         return self._stored(spark).join(wanted, ["_folder", self.slice_column], "left_semi").drop("_folder")
 
     def read(self, spark: SparkSession, slices: DataFrame | None = None) -> DataFrame:
@@ -147,26 +268,38 @@ class SlicedTable:
             places = places.join(slices.toDF(self.slice_column), self.slice_column, "left_semi")
         return self._at(spark, places)
 
-    def stage(self, rows: DataFrame, folder: str) -> None:
-        """Write the new content of slices, unseen by readers. Staging a folder again replaces what it held.
+    def stage(self, rows: DataFrame, folder: str, **metrics: Column) -> dict:
+        """Write the new content of slices, unseen by readers; returns aggregates of the rows, observed as they are written.
 
-        Rebalancing gathers a slice into few files, and splits a slice that is
-        too large for one task.
+        Staging a folder again replaces what it held. Rows are gathered into few files
+        by slice, and a slice that is too large for one task is split.
         """
         stored = T.StructType([f for f in self.schema if f.name != self.slice_column]).add(self.slice_column, "date")
-        (
-            conform(rows, stored)
-            .hint("rebalance", self.slice_column)
-            .sortWithinPartitions(self.slice_column, *self.sort_columns)
-            .write.mode("overwrite")
-            .partitionBy(self.slice_column)
-            .parquet(f"{self._data}/_folder={folder}")
-        )
+        rows, order = conform(rows, stored), [self.slice_column, *self.sort_columns]
+        dealt = rows.repartitionByRange(*order) if self.sort_columns else rows.hint("rebalance", self.slice_column)
+        dealt, counts = observed(dealt.sortWithinPartitions(*order), metrics)
+        dealt.write.mode("overwrite").partitionBy(self.slice_column).parquet(f"{self._data}/_folder={folder}")
+        return counts()
 
     def staged(self, spark: SparkSession, folder: str) -> DataFrame:
         columns = [f for f in self.schema if f.name != self.slice_column]
         return spark.read.schema(T.StructType(columns).add(self.slice_column, "date")).parquet(f"{self._data}/_folder={folder}")
 
+    def staged_totals(self, spark: SparkSession, folder: str) -> DataFrame:
+        """The totals of each slice in a staged folder."""
+        sums = [F.expr(sql).cast(kind).alias(name) for name, sql, kind in self.totals]
+        return self.staged(spark, folder).groupBy(self.slice_column).agg(*(sums or [F.count("*").alias("_rows")])).select(
+            self.slice_column, *[name for name, _, _ in self.totals]
+        )
+
+    def slice_totals(self, spark: SparkSession) -> DataFrame:
+        """Each slice and its totals, as kept when it was published."""
+        return self._places.read(spark).drop("_folder")
+
+    def holds(self, spark: SparkSession, folder: str) -> bool:
+        """Whether a staged folder was published and still has a slice."""
+        return not self._places.read(spark).filter(F.col("_folder") == folder).isEmpty()
+
     def publish(self, spark: SparkSession, folder: str, slices: DataFrame) -> None:
         """Switch the given slices to the staged folder. Doing it again changes nothing.
 
@@ -174,7 +307,7 @@ class SlicedTable:
         """
         column = self.slice_column
         replaced = slices.toDF(column)
-        filled = self.staged(spark, folder).select(column).distinct().withColumn("_folder", F.lit(folder))
+        filled = self.staged_totals(spark, folder).withColumn("_folder", F.lit(folder))
         kept = self._places.read(spark).join(replaced, column, "left_anti")
         self._places.replace(kept.unionByName(filled))
         self._places.forget(spark, keep=2)
