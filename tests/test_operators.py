@@ -217,3 +217,23 @@ def test_table_counts_are_in_long_form(spark):
     raw = bronze(spark, [order("A"), order("A")])
     assert contents(profile.table_counts({"one": raw, "none": raw.limit(0)})) == [("none", "0"), ("one", "2")]
     assert contents(profile.version_counts(raw)) == [("A", "2")]
+
+
+@pytest.mark.parametrize("spread", [3, 10**6, 10**17])
+def test_largest_values_are_summed_without_a_sort(spark, spread):
+    """Any cut, with ties, negative values, nulls, and values far apart."""
+    pick = random.Random(spread)
+    values = [Decimal(pick.randrange(-spread, spread)).scaleb(-4) for _ in range(400)] + [None] * 3
+    frame = spark.createDataFrame([(v,) for v in values], "v DECIMAL(22,4)")
+    ordered = sorted((v for v in values if v is not None), reverse=True)
+    cuts = [1, 2, 17, 200, 399, 400, 402, 403]
+    found = ranking.largest_values(frame, "v", cuts, percents=[1, 5, 100])
+    assert found.rows == 403 and found.total == sum(ordered)
+    assert {n: found.sums[n] for n in [*cuts, 5, 21]} == {n: sum(ordered[:n]) for n in [*cuts, 5, 21]}
+
+
+def test_largest_of_nothing_and_of_equal_values(spark):
+    empty = ranking.largest_values(spark.createDataFrame([], "v DECIMAL(10,2)"), "v", [3])
+    assert (empty.rows, empty.total, empty.sums) == (0, None, {3: None})
+    same = spark.createDataFrame([(Decimal("2.50"),)] * 40, "v DECIMAL(10,2)")
+    assert ranking.largest_values(same, "v", [7], [50]).sums == {7: Decimal("17.50"), 20: Decimal("50.00")}

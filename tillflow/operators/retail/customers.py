@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillflow.functions.retail import share
-from tillflow.operators.ranking import global_rank
+from tillflow.operators.ranking import largest_values
 from tillflow.operators.retail.lines import sale_lines
 from tillflow.schemas import RETAIL_MONEY
 
@@ -32,23 +32,17 @@ def customer_concentration(summary: DataFrame, percents: Iterable[int] = TOP_PER
     A level covers at least one customer and rounds up; the cut is worked out in
     integers, so a level that divides evenly takes no customer too many.
     """
-    ranked = global_rank(summary.select("customer_id", "gross_sales"), F.desc("gross_sales"), F.asc("customer_id"))
-    customers = ranked.count()
-    cuts = {p: max(1, -(-customers * p // 100)) for p in percents}
-    sums = ranked.agg(
-        F.sum("gross_sales").alias("everyone"),
-        *[F.sum(F.when(F.col("rank") <= cut, F.col("gross_sales"))).alias(f"top_{p}") for p, cut in cuts.items()],
-    )
-    levels = [
-        F.struct(
-            F.lit(p).alias("top_percent"),
-            F.lit(cut).cast("bigint").alias("customers"),
-            F.col(f"top_{p}").cast(RETAIL_MONEY).alias("gross_sales"),
-            share(F.col(f"top_{p}"), F.col("everyone")).alias("sales_share"),
-        )
-        for p, cut in cuts.items()
-    ]
-    return sums.select(F.inline(F.array(*levels)))
+    percents = list(percents)
+    found = largest_values(summary, "gross_sales", percents=percents)
+    levels = []
+    for p in percents:
+        cut = max(1, -(-found.rows * p // 100))
+        top = F.lit(found.sums[cut]).cast(RETAIL_MONEY)
+        levels.append(F.struct(
+            F.lit(p).alias("top_percent"), F.lit(cut).cast("bigint").alias("customers"), top.alias("gross_sales"),
+            share(top, F.lit(found.total)).alias("sales_share"),
+        ))
+    return summary.sparkSession.range(1).select(F.inline(F.array(*levels)))
 
 
 def repeat_purchase(summary: DataFrame) -> DataFrame:
