@@ -10,14 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillflow.sources import scratch
+from tillflow.sources import scratch, tables
 
 # Words are runs of anything but the six ASCII blanks.
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Rows of an Arrow batch.
-BATCH_ROWS = 1000
+# Rows and bytes of an Arrow batch; a row may be larger than that.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+# Rows of a key and a digest, some 70 bytes each, that are broadcast at most.
+BROADCAST_ROWS = 500_000
 ROOT = str(Path(__file__).resolve().parents[2])
 # monotonically_increasing_id keeps the partition above this bit.
 PLACE_BITS = 33
@@ -31,7 +33,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """`frame` written to the shared folder and read back: its lineage ends there."""
     path = scratch.new_dir(frame.sparkSession, purpose)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    kept = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    kept._stored_at = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what `stored` wrote for these frames; nothing may read them any more."""
+    for frame in frames:
+        tables.discard(frame.sparkSession, frame._stored_at)
 
 
 def shipped(frame: DataFrame) -> DataFrame:
@@ -39,7 +49,9 @@ def shipped(frame: DataFrame) -> DataFrame:
 
     They are told where this package lies if they see the same folders; else ship it as py-files.
     """
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf = frame.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     environment = frame.sparkSession.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
@@ -47,6 +59,22 @@ def shipped(frame: DataFrame) -> DataFrame:
     return frame
 
 
+def text_digest(text: str) -> Column:
+    """The digest of a text, null read as empty; beside its key what tells a row from others."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, key: str, text: str) -> DataFrame:
+    """`docs` but for rows with a key (null is one) and text that `gone` (key, digest) has.
+
+    Few are broadcast; that they are few is counted.
+    """
+    few = gone.count() <= BROADCAST_ROWS
+    g = gone.select(F.col("key").alias("_gone"), F.col("digest").alias("_digest"))
+    same = F.col(key).eqNullSafe(F.col("_gone")) & (text_digest(text) == F.col("_digest"))
+    return docs.join(F.broadcast(g) if few else g, same, "left_anti")
+
+
 def arrow_map(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
     """`work(batch) -> pyarrow.RecordBatch` over every Arrow batch."""
 

@@ -6,9 +6,9 @@ data. An n-gram is two numbers: `lo` has its last three signs, `hi` those before
 Every task counts the n-grams of its documents, the trusted ones apart; Spark adds
 them up by n-gram. The counts of each order are then joined with those of their
 contexts and of the next lower order, sharded by n-gram, which gives a
-probability to every n-gram that any document holds. Documents are read in blocks;
-the distinct n-grams of each block are joined with the probabilities, and meet
-the block's texts again. Texts fall into two halves by a hash, and each half is
+probability to every n-gram that any document holds. Documents are stored in blocks;
+the distinct n-grams of each block are joined with the probabilities, and these move to
+where the block's texts lie, in a table bucketed by block. Texts fall into two halves by a hash, and each half is
 scored by the model of the other's trusted texts: so many n-grams would know the
 texts that they were counted in. A document's perplexity is the mean over its
 n-grams. A document is rejected if it is less likely than a quantile of the trusted documents
@@ -17,6 +17,9 @@ of its language allows.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import PLACE_BITS, record_batch, shipped, stored
+from tillflow.llm.common import PLACE_BITS, discard, partitions, record_batch, shipped, stored, without_rows
+from tillflow.sources import scratch
 
 ORDER = 4
 # A sign is a code point; so many bits hold one, and LO_SIGNS of them fit one number.
@@ -34,10 +38,12 @@ SIGNS, CODES = 1 << SIGN_BITS, 0x110000
 QUANTILE = 0.99
 # A document counts as so many signs of its language's median more; bins of a unit of log perplexity.
 PRIOR_SIGNS, BINS = 40, 1000
+# Discounts where n-grams of one to three occurrences are too few to estimate them from.
+FEW_COUNTS = [0.5, 0.75, 0.9]
 # Signs that a worker takes at a time, bytes of texts in a block, and ids that are broadcast at most.
-SLICE_SIGNS = 2_000_000
+SLICE_SIGNS = 400_000
 BLOCK_BYTES = 12_000_000
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 1_000_000
 BLANK = ord(" ")
 
 _blanks: list[np.ndarray] = []
@@ -119,7 +125,9 @@ def unpacked(data: bytes) -> pa.Table:
 def in_blocks(docs: DataFrame) -> DataFrame:
     """`docs` (key, text, trusted, lang) and the half of each, stored as block and `rows`, packed rows of that block.
 
-    Blocks are neighbours of BLOCK_BYTES, whatever their keys. Texts are packed since they are stored and moved whole.
+    Blocks are neighbours of BLOCK_BYTES, whatever their keys. Their table is bucketed by
+    block, so that what is joined to them later moves, and the texts stay. `finished`
+    drops it.
     """
 
     def work(batches):
@@ -140,7 +148,17 @@ def in_blocks(docs: DataFrame) -> DataFrame:
 
     half = F.xxhash64("text").bitwiseAND(F.lit(1)).alias("half")
     rows = docs.select("key", "text", "trusted", "lang", half, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    return stored(shipped(rows).mapInArrow(work, "block long, rows binary"), "lm-blocks")
+    blocks = shipped(rows).mapInArrow(work, "block long, rows binary")
+    path, name = scratch.new_dir(docs.sparkSession, "lm-blocks"), f"lm_blocks_{uuid.uuid4().hex}"
+    blocks.write.bucketBy(partitions(docs.sparkSession), "block").option("path", path).saveAsTable(name)
+    found = docs.sparkSession.table(name)
+    found._stored_at, found._table_name = path, name
+    return found
+
+
+def finished(blocks: DataFrame) -> None:
+    blocks.sparkSession.sql(f"DROP TABLE {blocks._table_name}")
+    discard(blocks)
 
 
 def block_grams(blocks: DataFrame) -> DataFrame:
@@ -197,11 +215,11 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def discounts(counts: DataFrame, c: str) -> list[float]:
-    """D1, D2 and D3+ from how many n-grams occur one to four times."""
+    """D1, D2 and D3+ from how many n-grams occur one to four times; FEW_COUNTS if none occurs once, twice or three times."""
     n = {r[c]: r["n"] for r in counts.filter(F.col(c).between(1, 4)).groupBy(c).agg(F.count("*").alias("n")).collect()}
     n1, n2, n3, n4 = (n.get(i, 0) for i in range(1, 5))
     if not (n1 and n2 and n3):
-        return [0.5, 0.75, 0.9]  # too few counts to estimate from
+        return FEW_COUNTS
     y = n1 / (n1 + 2 * n2)
     found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
     return [min(max(d, 0.1), k - 0.05) for k, d in zip((1, 2, 3), found)]
@@ -226,7 +244,7 @@ def probabilities(counts: DataFrame, models: tuple[str, ...] = ("",)) -> DataFra
     """
     p = None
     # Every n-gram of an order that needs a probability, with what it counts: 0 if never trusted.
-    levels = [stored(counts, "lm-counts")]
+    levels = [counts]
     for order in range(ORDER - 1, 0, -1):
         hi, lo = _last(order)
         different = [F.count_if(F.col(f"c{m}") > 0).cast("long").alias(f"c{m}") for m in models]
@@ -243,20 +261,23 @@ def probabilities(counts: DataFrame, models: tuple[str, ...] = ("",)) -> DataFra
         lower_hi, lower_lo = _last(order - 1)
         joined = level.select("*", *context, lower_hi.alias("l_hi"), lower_lo.alias("l_lo")).join(contexts, ["h_hi", "h_lo"])
         if p is not None:
-            below = p.select(F.col("hi").alias("l_hi"), F.col("lo").alias("l_lo"), *[F.col(f"p{m}").alias(f"q{m}") for m in models])
-            joined = joined.join(below, ["l_hi", "l_lo"])
+            known = p.select(F.col("hi").alias("l_hi"), F.col("lo").alias("l_lo"), *[F.col(f"p{m}").alias(f"q{m}") for m in models])
+            joined = joined.join(known, ["l_hi", "l_lo"])
         lower = {m: F.lit(1.0 / SIGNS) if p is None else F.col(f"q{m}") for m in models}
-        p = joined.select("hi", "lo", *[
+        found = joined.select("hi", "lo", *[
             F.when(F.col(f"total{m}") == 0, lower[m]).otherwise(
                 (F.col(f"c{m}") - _discount(d[m], f"c{m}") + F.col(f"left{m}") * lower[m]) / F.col(f"total{m}")
             ).alias(f"p{m}") for m in models
         ])
-        p = stored(p, "lm-probabilities")
-    return p.select("hi", "lo", *[F.log(f"p{m}").cast("float").alias(f"logp{m}") for m in models])
+        below, p = p, stored(found, "lm-probabilities")
+        discard(*([below] if below is not None else []), *([level] if order < ORDER else []))
+    found = p.select("hi", "lo", *[F.log(f"p{m}").cast("float").alias(f"logp{m}") for m in models])
+    found._stored_at = p._stored_at
+    return found
 
 
 def scored(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """`docs` (key, text, trusted, lang) without the text: key, trusted, lang, signs, logp (sum)."""
+    """`docs` (key, text, trusted, lang) without the text: key, digest, trusted, lang, signs, logp (sum)."""
     blocks = in_blocks(docs)
     known = block_grams(blocks).join(table, ["hi", "lo"])
     return scored_blocks(blocks, known.select("block", "hi", "lo", F.col("logp").alias("logp0"), F.col("logp").alias("logp1")))
@@ -276,12 +297,13 @@ def scored_blocks(blocks: DataFrame, known: DataFrame) -> DataFrame:
             found = pd.DataFrame({"hi": hi, "lo": lo}).merge(table, "left", ["hi", "lo"])[["logp0", "logp1"]].to_numpy(np.float64)
             signs += np.bincount(owners, minlength=len(texts))
             total += np.bincount(owners, found[at, half[owners]], minlength=len(texts))
+        digests = [hashlib.sha256((text or "").encode()).digest() for text in texts]
         return pa.table({
-            "key": rows.column("key"), "trusted": rows.column("trusted"), "lang": rows.column("lang"),
+            "key": rows.column("key"), "digest": pa.array(digests, pa.binary()), "trusted": rows.column("trusted"), "lang": rows.column("lang"),
             "signs": pa.array(signs, pa.int64()), "logp": pa.array(total, pa.float64()),
         })
 
-    schema = "key long, trusted boolean, lang string, signs long, logp double"
+    schema = "key long, digest binary, trusted boolean, lang string, signs long, logp double"
     return shipped(blocks).groupBy("block").cogroup(known.groupBy("block")).applyInArrow(work, schema)
 
 
@@ -329,14 +351,14 @@ def judged(scores: DataFrame) -> DataFrame:
     return join(known, limits).withColumns({
         "perplexity": F.exp("pulled"), "limit": F.exp(F.coalesce("high", F.lit(every).cast("double"))),
     }).withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("limit"), F.lit(True))).select(
-        "key", "lang", "trusted", "signs", "perplexity", "limit", "kept"
+        "key", "digest", "lang", "trusted", "signs", "perplexity", "limit", "kept"
     )
 
 
 def classify(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
 ) -> DataFrame:
-    """key, lang, trusted, signs, perplexity, limit and kept of every row of `docs`.
+    """key, digest (of the text), lang, trusted, signs, perplexity, limit and kept of every row of `docs`.
 
     Trusted are the documents that `labels` (doc_id, quality, toxic) has as of
     quality 1 and not as toxic. A text that is null, empty or blank has no
@@ -354,18 +376,24 @@ def classify(
     rows = rows.join(F.broadcast(good) if few else good, F.col("key") == F.col("_good"), "left")
     rows = rows.withColumn("trusted", F.col("_good").isNotNull()).drop("_good")
     blocks = in_blocks(rows)
-    counts = stored(block_grams(blocks).groupBy("hi", "lo").agg(
-        F.collect_list("block").alias("blocks"), F.sum("c0").alias("c0"), F.sum("c1").alias("c1"),
-    ), "lm-grams")
-    table = probabilities(counts.drop("blocks"), ("0", "1"))
-    known = counts.select("hi", "lo", "blocks").join(table, ["hi", "lo"])
-    known = known.select(F.explode("blocks").alias("block"), "hi", "lo", "logp0", "logp1")
-    return judged(stored(scored_blocks(blocks, known), "lm-scores"))
+    # One row for each n-gram of a block. A frequent n-gram has a row for every block, which a skewed join splits.
+    asked = stored(block_grams(blocks), "lm-requests")
+    counts = stored(asked.groupBy("hi", "lo").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "lm-counts")
+    table = probabilities(counts, ("0", "1"))
+    discard(counts)
+    known = asked.select("block", "hi", "lo").join(table, ["hi", "lo"]).select("block", "hi", "lo", "logp0", "logp1")
+    scores = stored(scored_blocks(blocks, known), "lm-scores")
+    finished(blocks)
+    discard(asked, table)
+    return judged(scores)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of `docs` but for those of rejected keys."""
-    found = classify(docs, labels, key, text, lang)
-    gone = stored(found.filter("NOT kept AND key IS NOT NULL").select(F.col("key").alias("_gone")).distinct(), "rejected")
-    few = gone.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
+    """The rows of `docs` but for those that are rejected.
+
+    A row is known by its key, null or not, and its text: of rows that share a key
+    only those with a rejected text go, and rejected rows without a key go as well.
+    Rows that repeat are judged alike; an empty table gives an empty result.
+    """
+    rejected = classify(docs, labels, key, text, lang).filter("NOT kept").select("key", "digest").distinct()
+    return without_rows(docs, stored(rejected, "rejected"), key, text)
