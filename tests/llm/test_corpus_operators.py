@@ -178,7 +178,7 @@ def test_scrambled_text_of_any_script_is_rejected(spark):
 def test_the_limit_is_the_quantile_itself(spark):
     bits = [2 + i / 100 for i in range(100)]
     rows = [(i, True, "en", 100_000, -b * 100_000) for i, b in enumerate(bits)] + [(100, False, "en", 100_000, -3.2 * 100_000)]
-    found = {r.key: r for r in quality.judged(spark.createDataFrame(rows, "key long, trusted boolean, lang string, signs long, logp double")).collect()}
+    found = {r.key: r for r in quality.judged(spark.createDataFrame(rows, "key long, trusted boolean, lang string, signs long, logp double").withColumn("digest", F.lit(None).cast("binary"))).collect()}
     assert not found[100].kept and sum(found[i].kept for i in range(100)) == 99
 
 
@@ -545,3 +545,20 @@ def test_repeated_vector_ids(spark):
     found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     assert Counter((r.key, r.n_links, r.component_id) for r in found.collect()) == Counter(
         [(1, 2, 1), (1, 1, 1), (2, 1, 1), (None, 2, 1), (3, 2, 1)])
+
+
+def test_bundles_of_large_alphabets_stay_small():
+    """300 texts of 300 signs out of 20,000 letters: as plain sums give it, in bounded memory."""
+    pick = np.random.default_rng(9)
+    texts = ["".join(map(chr, pick.integers(0x4E00, 0x9E00, 300))) for _ in range(300)]
+    own = language_id.Space(64)
+    signs = [own.signs(t) for t in texts]
+    tracemalloc.start()
+    found = own.bundles(signs, np.arange(300), 300)
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    for i in (0, 150, 299):
+        plain = sum(own.bound(tuple(g)).astype(int) for g in zip(*(signs[i][k : len(signs[i]) - 2 + k].tolist() for k in range(3))))
+        assert found[i].tolist() == plain.tolist()
+    few = own.bundles(signs[:5] * 2, np.array([0, 1, 0, 1, 0] * 2), 2)
+    assert few[0].tolist() == (2 * (found[0] + found[2] + found[4])).tolist()

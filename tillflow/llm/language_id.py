@@ -17,9 +17,11 @@ from tillflow.llm.common import record_batch, shipped
 
 DIMENSIONS = 1024
 SEED = 4177
-# Signs that a worker takes at a time, and trigram vectors that it keeps.
+# Signs that a worker takes at a time, trigram and letter vectors that it keeps, trigrams whose vectors it adds up
+# at a time, and texts' trigrams likewise: with an alphabet of any size it holds no more.
 SLICE_SIGNS = 1_000_000
-VECTORS_KEPT = 30_000
+VECTORS_KEPT, LETTERS_KEPT = 30_000, 20_000
+TRIGRAMS_AT_ONCE, ENTRIES_AT_ONCE = 2048, 8192
 UNKNOWN = "und"
 BLANK = 32
 
@@ -36,21 +38,23 @@ class Space:
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
+            if len(self.letters) >= LETTERS_KEPT:
+                self.letters.clear()
             random = np.random.Generator(np.random.PCG64([SEED, code]))
             self.letters[code] = (random.integers(0, 2, self.dimensions) * 2 - 1).astype(np.int8)
         return self.letters[code]
 
     def vectors(self, grams: list[tuple]) -> np.ndarray:
-        """The vectors of trigrams of code points; the kept ones are reused."""
-        if len(grams) > VECTORS_KEPT:
-            return np.stack([self.bound(g) for g in grams])
+        """The vectors of at most VECTORS_KEPT trigrams of code points; the kept ones are reused."""
         missing = [g for g in grams if g not in self.row]
         if len(self.row) + len(missing) > VECTORS_KEPT:
             self.row.clear()
             missing = grams
-        for g in missing:
-            self.rows[len(self.row)] = self.bound(g)
-            self.row[g] = len(self.row)
+        if missing:
+            first = len(self.row)
+            a, b, c = (np.stack([self.letter(g[i]) for g in missing]) for i in range(3))
+            self.rows[first : first + len(missing)] = np.roll(a, 2, 1) * np.roll(b, 1, 1) * c
+            self.row.update((g, first + i) for i, g in enumerate(missing))
         return self.rows[[self.row[g] for g in grams]]
 
     def bound(self, gram: tuple) -> np.ndarray:
@@ -95,11 +99,27 @@ class Space:
         kinds, column = np.unique(grams, return_inverse=True)
         owners = sorted({g for _, g in pieces})
         line = np.searchsorted(owners, [g for _, g in pieces])[owner]
-        counts = np.bincount(line * len(kinds) + column, minlength=len(owners) * len(kinds))
-        spelled = zip(codes[kinds // (n * n)].tolist(), codes[kinds // n % n].tolist(), codes[kinds % n].tolist())
-        vectors = self.vectors(list(spelled)).astype(np.float32)
-        # Sums of whole numbers below 2**24 are exact in single precision.
-        total[owners] += counts.reshape(len(owners), len(kinds)).astype(np.float32) @ vectors
+        # How often each text has each trigram, by trigram.
+        pairs, times = np.unique(column * len(owners) + line, return_counts=True)
+        columns, lines = pairs // len(owners), pairs % len(owners)
+        owners = np.array(owners)
+        for begin in range(0, len(kinds), TRIGRAMS_AT_ONCE):
+            here = kinds[begin : begin + TRIGRAMS_AT_ONCE]
+            spelled = zip(codes[here // (n * n)].tolist(), codes[here // n % n].tolist(), codes[here % n].tolist())
+            vectors = self.vectors(list(spelled)).astype(np.float32)
+            low, high = np.searchsorted(columns, [begin, begin + len(here)])
+            at, who, often = columns[low:high] - begin, lines[low:high], times[low:high].astype(np.float32)
+            # Sums of whole numbers below 2**24 are exact in single precision.
+            if len(at) * 16 >= len(owners) * len(here):
+                counts = np.zeros((len(owners), len(here)), np.float32)
+                counts[who, at] = often
+                total[owners] += counts @ vectors
+                continue
+            order = np.argsort(who, kind="stable")
+            for first in range(0, len(order), ENTRIES_AT_ONCE):
+                some = order[first : first + ENTRIES_AT_ONCE]
+                heads = np.flatnonzero(np.concatenate([[True], who[some][1:] != who[some][:-1]]))
+                total[owners[who[some][heads]]] += np.add.reduceat(vectors[at[some]] * often[some][:, None], heads)
 
 
 _spaces: dict[int, Space] = {}
