@@ -11,6 +11,7 @@ few, and the number of tables so that a link is missed with at most `MISS`.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -44,12 +45,18 @@ def shape(vectors: int, cosine: float = COSINE, width: float = WIDTH, miss: floa
     return directions, math.ceil(math.log(miss) / math.log1p(-(near**directions)))
 
 
+@lru_cache(maxsize=4)
+def axes_of(dim: int, directions: int, tables: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The Gaussian axes, shifts and bucket factors; drawn once in a worker, the same in all."""
+    random = np.random.Generator(np.random.PCG64([SEED, dim, directions, tables]))
+    axes = random.standard_normal((dim, directions * tables))
+    shift = random.uniform(0, WIDTH, directions * tables)
+    return axes, shift, random.integers(1, 2**63, (tables, directions), dtype=np.int64) | 1
+
+
 def buckets_of(unit: np.ndarray, directions: int, tables: int) -> np.ndarray:
     """A 64-bit bucket for each vector and table; the same wherever it is worked out."""
-    random = np.random.Generator(np.random.PCG64([SEED, unit.shape[1], directions, tables]))
-    axes = random.standard_normal((unit.shape[1], directions * tables))
-    shift = random.uniform(0, WIDTH, directions * tables)
-    factors = random.integers(1, 2**63, (tables, directions), dtype=np.int64) | 1
+    axes, shift, factors = axes_of(unit.shape[1], directions, tables)
     cells = np.floor((unit @ axes + shift) / WIDTH).astype(np.int64).reshape(len(unit), tables, directions)
     return (cells * factors).sum(2) + (np.arange(tables) + tables * unit.shape[1]) * np.int64(0x9E3779B97F4A7C1)
 
@@ -82,14 +89,17 @@ def _compared(directions: int, tables: int, cosine: float):
             if len(block) < 2:
                 continue
             unit = _units(block["vector"])
-            codes = buckets_of(unit, directions, tables)
             part, ids, members = block["part"].to_numpy(), block["cls"].to_numpy(), block["members"].to_numpy()
             x, y = np.nonzero(np.triu(unit @ unit.T >= cosine, 1))
             if first != second:
                 keep = part[x] != part[y]
                 x, y = x[keep], y[keep]
-            # A pair counts in the first table it shares.
-            keep = (codes[x] == codes[y]).argmax(1) == table
+            if not len(x):
+                continue
+            # A pair counts in the first table it shares: only linked vectors need their buckets.
+            near, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+            codes = buckets_of(unit[near], directions, tables)
+            keep = (codes[at[: len(x)]] == codes[at[len(x) :]]).argmax(1) == table
             x, y = x[keep], y[keep]
             links = np.bincount(x, members[y], len(ids)) + np.bincount(y, members[x], len(ids))
             out += [(int(ids[i]), None, int(links[i])) for i in np.nonzero(links)[0]]
