@@ -337,7 +337,7 @@ def test_chunk_maps_compose_in_any_grouping():
     right = maps[-1]
     for m in reversed(maps[:-1]):
         right = own.composed(m, right)
-    assert left == right == own.scanned(maps)[-1] and own.total(left) == own.count("one two three four five")
+    assert left == right == own.folded(maps) and own.total(left) == own.count("one two three four five")
 
 
 def test_texts_without_blanks_hold_no_prefixes():
@@ -547,6 +547,18 @@ def test_repeated_vector_ids(spark):
         [(1, 2, 1), (1, 1, 1), (2, 1, 1), (None, 2, 1), (3, 2, 1)])
 
 
+def test_states_are_forgotten_inside_a_word(monkeypatch):
+    """Random letters without a blank keep finding new states; counts stay the library's."""
+    from tillflow.llm import token_counts as module
+
+    monkeypatch.setattr(module, "STATES_KEPT", 500)
+    own, library, pick = module.Transducer(WORDS), Tokenizer.from_file(WORDS), random.Random(8)
+    for length in (30_000, 3_000, 200):
+        text = "".join(pick.choice("abcdefghijklmnopqrstuvwxyzé日") for _ in range(length))
+        assert own.count(text, 1024) == len(library.encode(text, add_special_tokens=False).ids)
+        assert len(own.words.states) <= 500
+
+
 def test_bundles_of_large_alphabets_stay_small():
     """300 texts of 300 signs out of 20,000 letters: as plain sums give it, in bounded memory."""
     pick = np.random.default_rng(9)

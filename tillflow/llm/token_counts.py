@@ -119,18 +119,23 @@ class WordMachine:
 
     def __init__(self, borders: Borders):
         self.borders = borders
-        self.reset()
-
-    def reset(self) -> None:
         self.states: dict[tuple, State] = {}
         self.start = self.state("", ((None, 0),))
 
     def state(self, ending: str, places: tuple) -> State:
         found = self.states.get((ending, places))
         if found is None:
+            if len(self.states) >= STATES_KEPT:
+                self.forget()
             found = self.states[ending, places] = State(ending, places)
         return found
 
+    def forget(self) -> None:
+        """Drop all compiled states, at any sign of a word: whoever is in one goes on from it, and compiles what follows anew."""
+        for state in self.states.values():
+            state.moves.clear()
+        self.states = {(self.start.ending, self.start.places): self.start}
+
     def step(self, state: State, sign: str) -> tuple[State, int]:
         move = state.moves.get(sign)
         if move is None:
@@ -201,8 +206,6 @@ class Transducer:
 
     def stretch(self, text: str) -> int:
         """Tokens of signs without a blank: letters, numbers one by one, runs of others, contractions."""
-        if len(self.words.states) >= STATES_KEPT:
-            self.words.reset()
         if text.isalpha():
             return self.closed(text)
         if text[-1] in MARKS and text[:-1].isalpha():
@@ -269,14 +272,6 @@ class Transducer:
         met = a.tail + b.head
         return ChunkMap(a.head, a.count + (self.counted(met) if met else 0) + b.count, b.tail)
 
-    def scanned(self, maps: list[ChunkMap]) -> list[ChunkMap]:
-        """All prefix compositions; each round doubles the span that a map covers."""
-        step = 1
-        while step < len(maps):
-            maps = [*maps[:step], *(self.composed(maps[i - step], maps[i]) for i in range(step, len(maps)))]
-            step *= 2
-        return maps
-
     def folded(self, maps: list[ChunkMap]) -> ChunkMap:
         """The composition of all maps, neighbours first: no prefix is kept, so the maps never hold more than the text."""
         while len(maps) > 1:
