@@ -8,8 +8,11 @@ Small sets list their subsets: sets of sizes a <= b need an overlap of
 Large sets go through inverted lists. A set is entered under the first elements
 of a global order, as many as it takes for linked sets to share one; the order
 puts frequent shingles last, so that lists stay short. Candidates of a list are
-checked by their exact overlap. Where a component already holds two sets, their
-pair is not looked at again. The boundary between small and large is the size at
+checked by their exact overlap: first neighbours in a random order, one for all
+lists, so that copies meet the same few others everywhere, and the first of each list; then the same
+in another order for sets that still lie in different components; then every other pair
+that can link. Where a component already holds two sets, their pair is not looked at again.
+Sets and shingles are told apart by 64 bits of hashes. The boundary between small and large is the size at
 which the estimated work is least.
 """
 
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import LOWER, UPPER, arrow_map, record_batch, stored
+from tillflow.llm.common import LOWER, UPPER, arrow_map, discard, record_batch, stored, text_digest, without_rows
 from tillflow.llm.components import components
 
 WORDS = 5
@@ -36,7 +39,9 @@ FREQUENT, FREQUENT_AT_MOST = 32, 1 << 16
 # Elements of a shard, and bits of a shingle that order and lists go by.
 SHARD_SIZE, KEY_BITS = 1 << 22, 40
 # Keys that are broadcast to fetch documents, at most; more are shuffled.
-BROADCAST_KEYS = 2_000_000
+BROADCAST_KEYS = 1_000_000
+# Entries of a list that are ordered in one piece; sizes in a band differ by a factor of BAND at most.
+LIST_PIECE, BAND = 100_000, 1.04
 
 _lower = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -84,18 +89,18 @@ def _sets(batch, column: int):
 
 
 def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n, mark (of the set) and, for a set that may be small, its shingles."""
+    """key, n, mark (of the set), digest (of the text) and, for a set that may be small, its shingles."""
 
     def work(batch):
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
         return record_batch([
             ("key", pa.int64(), batch.column(0)), ("n", pa.int64(), [len(s) for s in sets]),
-            ("mark", pa.int64(), [fingerprint(s) if len(s) else None for s in sets]),
+            ("mark", pa.int64(), [fingerprint(s) if len(s) else None for s in sets]), ("digest", pa.binary(), batch.column(2)),
             ("small", pa.list_(pa.int64()), [s.view(np.int64).tolist() if 0 < len(s) <= SMALL_AT_MOST else None for s in sets]),
         ])
 
-    rows = docs.select(F.col(key).cast("long"), F.col(text))
-    return arrow_map(rows, work, "key long, n long, mark long, small array<long>")
+    rows = docs.select(F.col(key).cast("long"), F.col(text), text_digest(text).alias("digest"))
+    return arrow_map(rows, work, "key long, n long, mark long, digest binary, small array<long>")
 
 
 # --- the boundary ------------------------------------------------------------
@@ -264,6 +269,53 @@ def _fit(most: int) -> str:
     return f"9 * least(room, other_room) >= 4 * (n + m) AND greatest(n, m) > {most}"
 
 
+def neighbours(entries: DataFrame, salt: int, most: int, apart: str = "true") -> DataFrame:
+    """Pairs (a, b) of sets that may link: each set with the one before it in a list, and with the first of the list.
+
+    Sets have one random order in all lists. The first of a list ties copies together in
+    few steps, the one before helps where they do not all link with the first.
+    `entries` are k, mark, n, room and c; `apart` is a further condition on c and the
+    other's, d. Long lists are cut into pieces of the order.
+    """
+    place = F.xxhash64("mark", F.lit(salt))
+    long_lists = entries.groupBy("k").agg(F.ceil(F.count("*") / LIST_PIECE).alias("pieces")).filter("pieces > 1")
+    cut = entries.join(long_lists, "k", "left").withColumns({
+        "place": place, "piece": F.pmod(F.shiftright(place, 20), F.coalesce("pieces", F.lit(1))),
+    })
+    line = Window.partitionBy("k", "piece").orderBy("place", "mark")
+    columns = {"mark": "b", "n": "m", "room": "other_room", "c": "d"}
+    near = cut.withColumns({
+        "_before": F.struct(*[F.lag(c).over(line).alias(name) for c, name in columns.items()]),
+        "_first": F.struct(*[F.first(c).over(line).alias(name) for c, name in columns.items()]),
+    })
+    near = near.select("mark", "n", "room", "c", F.explode(F.array("_before", "_first")).alias("o")).select("mark", "n", "room", "c", "o.*")
+    near = near.filter(f"b IS NOT NULL AND mark <> b AND {_fit(most)} AND {apart}")
+    return near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
+
+
+def all_pairs(entries: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of sets of a list in different components that may link; `entries` as in `neighbours`.
+
+    A set with so much room can have partners of up to 9 / 4 room - n shingles. The
+    smaller one of a pair is filed under the band of its size, if it can have a partner
+    as large as itself; the larger one asks the bands it may link with. Sets that
+    only share a list do not meet.
+    """
+    reach = (9 * F.col("room") / 4 - F.col("n")).alias("reach")
+    band = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(BAND)))
+    rows = entries.select("k", "mark", "n", "room", "c", reach)
+    filed = rows.filter("reach >= n").select(
+        "k", band(F.col("n")).alias("band"), F.col("mark").alias("b"), F.col("n").alias("m"), F.col("room").alias("other_room"),
+        F.col("c").alias("d"),
+    )
+    lowest, highest = band(F.greatest(0.79 * F.col("n"), F.lit(1.0))), band(F.least(F.col("n"), F.col("reach")))
+    asking = rows.filter("reach >= 0.79 * n AND reach >= 1").select(
+        "k", F.col("mark").alias("a"), "n", "room", "c", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("band")
+    )
+    met = asking.join(filed, ["k", "band"]).filter(f"(m < n OR (m = n AND a < b)) AND c <> d AND {_fit(most)}")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def cells(shingle_set: np.ndarray) -> bytes:
     """A bitmap of the cells that the shingles' leading bits fall into; two to four cells for each shingle."""
     width = max(3, int(2 * len(shingle_set) - 1).bit_length())
@@ -330,64 +382,66 @@ def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
     elements = sets.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_shingles(docs, text, elements)
     lists = stored(inverted_lists(docs, text, elements, frequent, most), "lists")
-    # First each set with two neighbours in a random order of each of its lists. Sets of a large group meet so many
-    # of each other over their lists that they end up in one component.
-    line = Window.partitionBy("k").orderBy(F.xxhash64("mark", "k"), "mark")
-    columns = {"mark": "b", "n": "m", "room": "other_room"}
-    near = lists.withColumns({
-        f"_{back}": F.struct(*[F.lag(c, back).over(line).alias(name) for c, name in columns.items()]) for back in (1, 2)
-    })
-    near = near.select("mark", "n", "room", F.explode(F.array("_1", "_2")).alias("o")).select("mark", "n", "room", "o.*")
-    near = near.filter(f"b IS NOT NULL AND {_fit(most)}")
-    tried = near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
-    tried = stored(tried, "pairs")
+    entries = lists.withColumn("c", F.col("mark"))
+    tried = stored(neighbours(entries, 1, most), "pairs")
     links = stored(links.union(verified(docs, sets, tried, key, text)), "links-found")
-    # Then every pair that still lies in different components of a list.
-    known = components(links)
-    at = lists.join(known, F.col("mark") == F.col("node"), "left").select(
-        "k", "mark", "n", "room", F.coalesce("component", "mark").alias("c")
-    )
-    open_lists = at.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("k")
-    at = stored(at.join(open_lists, "k"), "open-lists")
-    other = at.select("k", F.col("mark").alias("b"), F.col("n").alias("m"), F.col("room").alias("other_room"), F.col("c").alias("d"))
-    rest = (
-        at.withColumnRenamed("mark", "a").join(other, "k").filter(f"a < b AND c <> d AND {_fit(most)}")
-        .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    )
-    rest = stored(rest, "pairs")
-    return links.union(verified(docs, sets, rest, key, text))
-
-
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles and component_id (smallest key reachable by links) of every row of `docs`.
-
-    A null or blank text has no shingles and links with nothing: it is its own
-    component, and so is every other such row. Rows with equal sets link. A null
-    key names no component unless its row is alone. Repeated rows are rows of their
-    own; an empty table gives an empty result; further columns are not read.
-    """
+    for salt in (2, None):
+        known = components(links)
+        at = lists.join(known, F.col("mark") == F.col("node"), "left").select(
+            "k", "mark", "n", "room", F.coalesce("component", "mark").alias("c")
+        )
+        open_lists = at.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("k")
+        at = stored(at.join(open_lists, "k"), "open-lists")
+        new = neighbours(at, salt, most, "c <> d") if salt else all_pairs(at, most)
+        new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = stored(links.union(verified(docs, sets, new, key, text)), "links-found")
+        tried = tried.union(new)
+        discard(at)
+    return links
+
+
+def with_components(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, digest, n, mark, component (a mark, null without shingles) and root (its smallest key) of every row."""
     rows = stored(set_rows(docs, key, text), "shingle-sets")
     sets = stored(
         rows.filter("n > 0").groupBy("mark")
         .agg(F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("small").alias("small")),
         "distinct-sets",
     )
-    found = components(stored(set_links(docs, sets, key, text), "links-all"))
+    found = components(set_links(docs, sets, key, text))
     named = stored(
         sets.join(found, F.col("mark") == F.col("node"), "left")
         .select("mark", F.col("key").alias("smallest"), F.coalesce("component", "mark").alias("component")),
         "set-components",
     )
     roots = named.groupBy("component").agg(F.min("smallest").alias("root"))
-    named = named.join(roots, "component").select("mark", "root")
-    return rows.select("key", "n", "mark").join(named, "mark", "left").select(
+    named = named.join(roots, "component").select("mark", "component", "root")
+    return rows.select("key", "digest", "n", "mark").join(named, "mark", "left")
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, n_shingles and component_id (smallest key reachable by links) of every row of `docs`.
+
+    A null or blank text has no shingles and links with nothing: it is its own
+    component, and so is every other such row. Rows with equal sets link. A null
+    key names no component unless its row is alone. Repeated rows are rows of their
+    own; an empty table gives an empty result; further columns are not read.
+    """
+    return with_components(docs, key, text).select(
         "key", F.col("n").alias("n_shingles"), F.coalesce("root", "key").alias("component_id")
     )
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` but for those that link, directly or not, with a row of a smaller key."""
-    found = jaccard_components(docs, key, text)
-    gone = stored(found.filter("key <> component_id").select(F.col("key").alias("_gone")).distinct(), "near-copies")
-    few = gone.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(gone) if few else gone, F.col(key) == F.col("_gone"), "left_anti")
+    """One row of each group of rows that link, directly or not, and all that link with none.
+
+    The row of the smallest key stays (rows without a key come last), of equal keys the one
+    whose text has the smallest digest. Rows that repeat in key and text stay or go
+    together; a key that two texts share loses only the one that links with another row.
+    Texts without shingles stay. An empty table gives an empty result.
+    """
+    rows = stored(with_components(docs, key, text).filter("component IS NOT NULL").select("key", "digest", "component"), "linked-rows")
+    rank = F.struct(F.col("key").isNull(), "key", "digest")
+    best = rows.groupBy("component").agg(F.min(rank).alias("best"))
+    gone = rows.withColumn("rank", rank).join(best, "component").filter(~F.col("rank").eqNullSafe(F.col("best")))
+    return without_rows(docs, stored(gone.select("key", "digest").distinct(), "near-copies"), key, text)
