@@ -547,6 +547,24 @@ def test_repeated_vector_ids(spark):
         [(1, 2, 1), (1, 1, 1), (2, 1, 1), (None, 2, 1), (3, 2, 1)])
 
 
+def test_rows_go_by_key_and_text(spark):
+    """Rows without a key and keys with two texts: what links or is rejected goes, its namesakes stay."""
+    base = corpus.BASE * 3
+    near = [" ".join([*base, *[f"x{i}"]]) for i in range(4)]
+    rows = [(5, near[0]), (None, near[1]), (7, "a text of its own"), (7, near[2]), (None, "another one"), (3, near[3]), (3, near[3]), (None, None)]
+    docs = corpus.frame(spark, [(k, t, "en", "s", 0) for k, t in rows])
+    kept = Counter((r.doc_id, r.text) for r in ngram_join.keep_first(docs).collect())
+    assert kept == Counter([(7, "a text of its own"), (None, "another one"), (3, near[3]), (3, near[3]), (None, None)])
+    pick = random.Random(3)
+    clean = [" ".join(pick.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60)) for _ in range(100)]
+    junk = "#$%&*|QXZ0987 " * 30
+    rows = [*enumerate(clean), (None, junk), (4, junk), (None, clean[0])]
+    docs = corpus.frame(spark, [(k, t, "en", "s", 0) for k, t in rows])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10, 100)], "doc_id long, quality int, toxic int")
+    kept = {(r.doc_id, r.text) for r in quality.keep_good(docs, labels).collect()}
+    assert not kept & {(None, junk), (4, junk)} and {(4, clean[4]), (None, clean[0])} <= kept
+
+
 def test_states_are_forgotten_inside_a_word(monkeypatch):
     """Random letters without a blank keep finding new states; counts stay the library's."""
     from tillflow.llm import token_counts as module
