@@ -27,7 +27,7 @@ def docs(spark):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
 
 
