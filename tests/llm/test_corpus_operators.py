@@ -268,6 +268,18 @@ def test_cells_never_rule_out_a_link():
         assert n < 60 or not ngram_join.may_link(ngram_join.cells(base), ngram_join.cells(far), len(base), len(far))
 
 
+def test_sketches_bound_what_two_sets_do_not_share():
+    pick = np.random.default_rng(5)
+    for n in (1, 7, 60, 300, 5000):
+        base = np.unique(pick.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        for kept in (n, n * 19 // 20, n * 3 // 4, n // 3):
+            other = np.unique(np.concatenate([base[:kept], pick.integers(0, 2**63, n - kept).astype(np.uint64)]))
+            differ = sum(((x ^ y) % 2**64).bit_count() for x, y in zip(ngram_join.sketch(base), ngram_join.sketch(other)))
+            apart = len(np.setxor1d(base, other))
+            assert differ <= apart and (differ - apart) % 2 == 0
+            assert kept > n // 2 or n < 60 or n > 1000 or len(base) + len(other) < 9 * differ
+
+
 def test_components_of_a_chain_a_star_and_a_ring(spark):
     pairs = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200 + i, 200 + (i + 1) % 30) for i in range(30)] + [(5, 5)]
     found = {r.node: r.component for r in components.components(spark.createDataFrame(pairs, "a long, b long")).collect()}

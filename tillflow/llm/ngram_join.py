@@ -9,15 +9,17 @@ Large sets go through inverted lists. A set is entered under the first elements
 of a global order, as many as it takes for linked sets to share one; the order
 puts frequent shingles last, so that lists stay short. Candidates of a list are
 checked by their exact overlap: first neighbours in a random order, one for all
-lists, so that copies meet the same few others everywhere, and the first of each list; then the same
-in another order for sets that still lie in different components; then every other pair
+lists, so that copies meet the same few others everywhere, and the first of each list; then more
+neighbours in another order for sets that still lie in different components; then every other pair
 that can link. Where a component already holds two sets, their pair is not looked at again.
+Each set has a sketch of parities, from which a join tells most pairs that cannot link.
 Sets and shingles are told apart by 64 bits of hashes. The boundary between small and large is the size at
 which the estimated work is least.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from math import ceil, comb
 
@@ -25,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillflow.llm.common import LOWER, UPPER, arrow_map, discard, record_batch, stored, text_digest, without_rows
@@ -42,6 +44,10 @@ SHARD_SIZE, KEY_BITS = 1 << 22, 40
 BROADCAST_KEYS = 1_000_000
 # Entries of a list that are ordered in one piece; sizes in a band differ by a factor of BAND at most.
 LIST_PIECE, BAND = 100_000, 1.04
+# Neighbours that a set meets in the second order.
+WIDTH = 16
+# Bits of a sketch, and the size of sets up to which sketches alone decide what is compared exactly.
+SKETCH_BITS, SKETCHED = 512, 512
 
 _lower = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -76,6 +82,21 @@ def fingerprint(shingle_set: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingle_set.tobytes()) - (1 << 63)
 
 
+def sketch(shingle_set: np.ndarray) -> list[int]:
+    """For each cell of hashes whether an odd number of shingles falls into it, as longs.
+
+    Shared shingles cancel out in the XOR of two sketches, so its set bits are at most the shingles that only one set has.
+    """
+    cells_of = (shingle_set & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells_of, minlength=SKETCH_BITS) & 1).astype(bool)).view(np.int64).tolist()
+
+
+def sketches_allow(s: str = "sketch", t: str = "other_sketch") -> Column:
+    """Whether sets of sizes n and m and these sketches can link: of n + m shingles a ninth at most are not shared."""
+    differ = [F.bit_count(F.get(s, F.lit(i)).bitwiseXOR(F.get(t, F.lit(i)))) for i in range(SKETCH_BITS // 64)]
+    return F.col("n") + F.col("m") >= 9 * reduce(Column.__add__, differ)
+
+
 def _sets(batch, column: int):
     """Each distinct set of a batch: (fingerprint, set)."""
     seen = set()
@@ -89,7 +110,7 @@ def _sets(batch, column: int):
 
 
 def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, n, mark (of the set), digest (of the text) and, for a set that may be small, its shingles."""
+    """key, n, mark and sketch (of the set), digest (of the text) and, for a set that may be small, its shingles."""
 
     def work(batch):
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
@@ -97,10 +118,11 @@ def set_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
             ("key", pa.int64(), batch.column(0)), ("n", pa.int64(), [len(s) for s in sets]),
             ("mark", pa.int64(), [fingerprint(s) if len(s) else None for s in sets]), ("digest", pa.binary(), batch.column(2)),
             ("small", pa.list_(pa.int64()), [s.view(np.int64).tolist() if 0 < len(s) <= SMALL_AT_MOST else None for s in sets]),
+            ("sketch", pa.list_(pa.int64()), [sketch(s) if len(s) else None for s in sets]),
         ])
 
     rows = docs.select(F.col(key).cast("long"), F.col(text), text_digest(text).alias("digest"))
-    return arrow_map(rows, work, "key long, n long, mark long, digest binary, small array<long>")
+    return arrow_map(rows, work, "key long, n long, mark long, digest binary, small array<long>, sketch array<long>")
 
 
 # --- the boundary ------------------------------------------------------------
@@ -269,13 +291,13 @@ def _fit(most: int) -> str:
     return f"9 * least(room, other_room) >= 4 * (n + m) AND greatest(n, m) > {most}"
 
 
-def neighbours(entries: DataFrame, salt: int, most: int, apart: str = "true") -> DataFrame:
-    """Pairs (a, b) of sets that may link: each set with the one before it in a list, and with the first of the list.
+def neighbours(entries: DataFrame, salt: int, most: int, width: int = 1, apart: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of sets that may link: each set with the `width` ones before it in a list, and with the first of the list.
 
     Sets have one random order in all lists. The first of a list ties copies together in
-    few steps, the one before helps where they do not all link with the first.
-    `entries` are k, mark, n, room and c; `apart` is a further condition on c and the
-    other's, d. Long lists are cut into pieces of the order.
+    few steps, those before help where they do not all link with the first.
+    `entries` are k, mark, n, room and what `apart` asks of them; it is a further condition, which
+    finds the other's c and sketch as d and other_sketch. Long lists are cut into pieces of the order.
     """
     place = F.xxhash64("mark", F.lit(salt))
     long_lists = entries.groupBy("k").agg(F.ceil(F.count("*") / LIST_PIECE).alias("pieces")).filter("pieces > 1")
@@ -283,36 +305,37 @@ def neighbours(entries: DataFrame, salt: int, most: int, apart: str = "true") ->
         "place": place, "piece": F.pmod(F.shiftright(place, 20), F.coalesce("pieces", F.lit(1))),
     })
     line = Window.partitionBy("k", "piece").orderBy("place", "mark")
-    columns = {"mark": "b", "n": "m", "room": "other_room", "c": "d"}
-    near = cut.withColumns({
-        "_before": F.struct(*[F.lag(c).over(line).alias(name) for c, name in columns.items()]),
-        "_first": F.struct(*[F.first(c).over(line).alias(name) for c, name in columns.items()]),
-    })
-    near = near.select("mark", "n", "room", "c", F.explode(F.array("_before", "_first")).alias("o")).select("mark", "n", "room", "c", "o.*")
-    near = near.filter(f"b IS NOT NULL AND mark <> b AND {_fit(most)} AND {apart}")
+    names = {"mark": "b", "n": "m", "room": "other_room", "c": "d", "sketch": "other_sketch"}
+    own = [c for c in names if c in entries.columns]
+    other = F.struct(*[F.col(c).alias(names[c]) for c in own])
+    met = [F.lag(other, i).over(line) for i in range(1, width + 1)] + [F.first(other).over(line)]
+    near = cut.withColumns({f"_{i}": o for i, o in enumerate(met)})
+    near = near.select(*own, F.explode(F.array(*[f"_{i}" for i in range(len(met))])).alias("o")).select(*own, "o.*")
+    near = near.filter(f"b IS NOT NULL AND mark <> b AND {_fit(most)}")
+    near = near if apart is None else near.filter(apart)
     return near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
 
 
 def all_pairs(entries: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of sets of a list in different components that may link; `entries` as in `neighbours`.
+    """Pairs (a, b) of sets of a list in different components that may link; `entries` are k, mark, n, room, c and sketch.
 
     A set with so much room can have partners of up to 9 / 4 room - n shingles. The
     smaller one of a pair is filed under the band of its size, if it can have a partner
-    as large as itself; the larger one asks the bands it may link with. Sets that
-    only share a list do not meet.
+    as large as itself; the larger one asks the bands it may link with. What sketches
+    rule out is no row of the join. Sets that only share a list do not meet.
     """
     reach = (9 * F.col("room") / 4 - F.col("n")).alias("reach")
     band = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(BAND)))
-    rows = entries.select("k", "mark", "n", "room", "c", reach)
+    rows = entries.select("k", "mark", "n", "room", "c", "sketch", reach)
     filed = rows.filter("reach >= n").select(
         "k", band(F.col("n")).alias("band"), F.col("mark").alias("b"), F.col("n").alias("m"), F.col("room").alias("other_room"),
-        F.col("c").alias("d"),
+        F.col("c").alias("d"), F.col("sketch").alias("other_sketch"),
     )
     lowest, highest = band(F.greatest(0.79 * F.col("n"), F.lit(1.0))), band(F.least(F.col("n"), F.col("reach")))
     asking = rows.filter("reach >= 0.79 * n AND reach >= 1").select(
-        "k", F.col("mark").alias("a"), "n", "room", "c", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("band")
+        "k", F.col("mark").alias("a"), "n", "room", "c", "sketch", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("band")
     )
-    met = asking.join(filed, ["k", "band"]).filter(f"(m < n OR (m = n AND a < b)) AND c <> d AND {_fit(most)}")
+    met = asking.join(filed, ["k", "band"]).filter(f"(m < n OR (m = n AND a < b)) AND c <> d AND {_fit(most)}").filter(sketches_allow())
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -369,8 +392,17 @@ def overlaps(s: bytes, t: bytes, n: int, m: int) -> bool:
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) of marks whose sets link: those that their cells do not rule out, by their exact overlap."""
-    left = stored(_tested(pairs, _fetched(docs, sets, pairs, key, text, cells), may_link), "pairs-left")
+    """The pairs (a, b) of marks whose sets link, by their exact overlap.
+
+    Sketches rule out most others. They say little of large sets, whose cells are compared
+    before the sets themselves are sent.
+    """
+    known = sets.select("mark", "n", "sketch")
+    both = pairs.join(known.toDF("a", "n", "sketch"), "a").join(known.toDF("b", "m", "other_sketch"), "b")
+    near = stored(both.filter(sketches_allow()).select("a", "b", (F.greatest("n", "m") > SKETCHED).alias("large")), "pairs-near")
+    large = near.filter("large").select("a", "b")
+    kept = _tested(large, _fetched(docs, sets, large, key, text, cells), may_link)
+    left = stored(near.filter("NOT large").select("a", "b").union(kept), "pairs-left")
     return _tested(left, _fetched(docs, sets, left, key, text, lambda s: s.tobytes()), overlaps)
 
 
@@ -382,17 +414,18 @@ def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
     elements = sets.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_shingles(docs, text, elements)
     lists = stored(inverted_lists(docs, text, elements, frequent, most), "lists")
-    entries = lists.withColumn("c", F.col("mark"))
-    tried = stored(neighbours(entries, 1, most), "pairs")
+    tried = stored(neighbours(lists, 1, most), "pairs")
     links = stored(links.union(verified(docs, sets, tried, key, text)), "links-found")
-    for salt in (2, None):
+    sketches = sets.select("mark", "sketch")
+    for last in (False, True):
         known = components(links)
         at = lists.join(known, F.col("mark") == F.col("node"), "left").select(
             "k", "mark", "n", "room", F.coalesce("component", "mark").alias("c")
         )
         open_lists = at.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("k")
-        at = stored(at.join(open_lists, "k"), "open-lists")
-        new = neighbours(at, salt, most, "c <> d") if salt else all_pairs(at, most)
+        at = stored(at.join(open_lists, "k").join(sketches, "mark"), "open-lists")
+        apart = (F.col("c") != F.col("d")) & sketches_allow()
+        new = all_pairs(at, most) if last else neighbours(at, 2, most, WIDTH, apart)
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = stored(links.union(verified(docs, sets, new, key, text)), "links-found")
         tried = tried.union(new)
@@ -405,7 +438,7 @@ def with_components(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = stored(set_rows(docs, key, text), "shingle-sets")
     sets = stored(
         rows.filter("n > 0").groupBy("mark")
-        .agg(F.min("key").alias("key"), F.any_value("n").alias("n"), F.any_value("small").alias("small")),
+        .agg(F.min("key").alias("key"), *[F.any_value(c).alias(c) for c in ("n", "small", "sketch")]),
         "distinct-sets",
     )
     found = components(set_links(docs, sets, key, text))
