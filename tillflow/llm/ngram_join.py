@@ -288,7 +288,11 @@ def inverted_lists(docs: DataFrame, text: str, elements: int, frequent: np.ndarr
 
 def _fit(most: int) -> str:
     """Whether sets of sizes n and m can link if this is their first list: the needed overlap fits into both rooms."""
-    return f"9 * least(room, other_room) >= 4 * (n + m) AND greatest(n, m) > {most}"
+    return f"{_fit_rooms()} AND greatest(n, m) > {most}"
+
+
+def _fit_rooms() -> str:
+    return "9 * least(room, other_room) >= 4 * (n + m)"
 
 
 def neighbours(entries: DataFrame, salt: int, most: int, width: int = 1, apart: Column | None = None) -> DataFrame:
@@ -316,25 +320,34 @@ def neighbours(entries: DataFrame, salt: int, most: int, width: int = 1, apart:
     return near.select(F.least("mark", "b").alias("a"), F.greatest("mark", "b").alias("b")).distinct()
 
 
-def all_pairs(entries: DataFrame, most: int) -> DataFrame:
-    """Pairs (a, b) of sets of a list in different components that may link; `entries` are k, mark, n, room, c and sketch.
+def all_pairs(entries: DataFrame, sketches: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) of sets of a list in different components that may link; `entries` are k, mark, n, room and c, `sketches` mark and sketch.
 
     A set with so much room can have partners of up to 9 / 4 room - n shingles. The
     smaller one of a pair is filed under the band of its size, if it can have a partner
     as large as itself; the larger one asks the bands it may link with. What sketches
-    rule out is no row of the join. Sets that only share a list do not meet.
+    rule out is no row of the join. Sets that only share a list do not meet, and sketches
+    travel only to bands of which another component may ask for something.
     """
     reach = (9 * F.col("room") / 4 - F.col("n")).alias("reach")
     band = lambda size: F.floor(F.log(size.cast("double")) / F.log(F.lit(BAND)))
-    rows = entries.select("k", "mark", "n", "room", "c", "sketch", reach)
+    rows = entries.select("k", "mark", "n", "room", "c", reach)
     filed = rows.filter("reach >= n").select(
         "k", band(F.col("n")).alias("band"), F.col("mark").alias("b"), F.col("n").alias("m"), F.col("room").alias("other_room"),
-        F.col("c").alias("d"), F.col("sketch").alias("other_sketch"),
+        F.col("c").alias("d"),
     )
     lowest, highest = band(F.greatest(0.79 * F.col("n"), F.lit(1.0))), band(F.least(F.col("n"), F.col("reach")))
     asking = rows.filter("reach >= 0.79 * n AND reach >= 1").select(
-        "k", F.col("mark").alias("a"), "n", "room", "c", "sketch", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("band")
+        "k", F.col("mark").alias("a"), "n", "room", "c", F.explode(F.sequence(F.least(lowest, highest), highest)).alias("band")
+    )
+    bands = filed.groupBy("k", "band").agg(
+        F.min("m").alias("m"), F.max("other_room").alias("other_room"), F.min("d").alias("low"), F.max("d").alias("high")
     )
+    asking = asking.join(bands, ["k", "band"]).filter(f"m <= n AND (low <> c OR high <> c) AND {_fit_rooms()}")
+    asking = stored(asking.select("k", "band", "a", "n", "room", "c"), "asking")
+    filed = filed.join(asking.select("k", "band").distinct(), ["k", "band"], "left_semi")
+    asking = asking.join(sketches.withColumnRenamed("mark", "a"), "a")
+    filed = filed.join(sketches.toDF("b", "other_sketch"), "b")
     met = asking.join(filed, ["k", "band"]).filter(f"(m < n OR (m = n AND a < b)) AND c <> d AND {_fit(most)}").filter(sketches_allow())
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -423,9 +436,9 @@ def set_links(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFram
             "k", "mark", "n", "room", F.coalesce("component", "mark").alias("c")
         )
         open_lists = at.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("k")
-        at = stored(at.join(open_lists, "k").join(sketches, "mark"), "open-lists")
+        at = stored(at.join(open_lists, "k"), "open-lists")
         apart = (F.col("c") != F.col("d")) & sketches_allow()
-        new = all_pairs(at, most) if last else neighbours(at, 2, most, WIDTH, apart)
+        new = all_pairs(at, sketches, most) if last else neighbours(at.join(sketches, "mark"), 2, most, WIDTH, apart)
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = stored(links.union(verified(docs, sets, new, key, text)), "links-found")
         tried = tried.union(new)
