@@ -9,7 +9,7 @@ repeated any number of times before it is moved.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -126,9 +126,18 @@ def require_exact_copy(ledger: DataFrame) -> None:
         raise OverlapMismatch(f"overlapping rows are not exact copies: {found.asDict()}")
 
 
+def inside_overlap(pair: ExtractPair) -> ExtractPair:
+    """The rows of both extracts that lie in the overlap."""
+    older, newer = pair.older.filter(pair.older_overlap()), pair.newer.filter(pair.newer_overlap())
+    return replace(pair, older=older, newer=newer)
+
+
 def resolve_overlap(pair: ExtractPair) -> DataFrame:
-    """Both extracts as one, the newer one kept where they overlap."""
-    require_exact_copy(row_ledger(pair))
+    """Both extracts as one, the newer one kept where they overlap.
+
+    Only rows inside the overlap are compared: the others count as none on either side.
+    """
+    require_exact_copy(row_ledger(inside_overlap(pair)))
     return pair.older.filter(pair.older_kept()).unionByName(pair.newer)
 
 
