@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from tillflow.operators.retail import extracts
+from pyspark.sql import functions as F
+
+from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
+from tillflow.plans.catalogue import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,3 +22,18 @@ def test_overlap_is_proved_by_the_rows_inside_it(spark):
     assert 0 < inside.count() == whole.filter("older_overlap + newer_overlap > 0").count() < whole.count() / 2
     apart = extracts.ExtractPair(pair.older.limit(3), pair.newer.limit(3), 2, 1)
     assert extracts.row_ledger(extracts.inside_overlap(apart)).isEmpty()
+
+
+def test_overview_expands_no_line(spark):
+    found = QUERIES["overview"](spark, SF_DIR)
+    assert "Expand" not in plan(found)
+    lines = QUERIES["line_flags"](spark, SF_DIR)
+    row, sales = found.first(), lines.filter("is_sale_line")
+    assert row.invoices == lines.agg(F.countDistinct("invoice")).first()[0]
+    assert row.sale_invoices == sales.agg(F.countDistinct("invoice")).first()[0]
+    assert row.identified_customers == sales.agg(F.countDistinct("customer_id")).first()[0]
+
+
+def test_overview_of_nothing(spark):
+    row = quality.overview(QUERIES["line_flags"](spark, SF_DIR).filter("false")).first()
+    assert (row.row_count, row.invoices, row.sale_invoices, row.countries, row.first_date) == (0, 0, 0, 0, None)

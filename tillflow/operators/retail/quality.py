@@ -47,24 +47,38 @@ def overview(analysis: DataFrame) -> DataFrame:
     """Date range, rows and distinct counts on one row.
 
     Invoices are counted over all lines; sale invoices, stock codes, customers
-    and countries over sales only.
+    and countries over sales only. Each column has a grouping of its own: counted
+    beside each other, every line would be expanded into one row for each count.
     """
+    def distinct(column: str) -> DataFrame:
+        """The values of a column, and whether they occur in sales."""
+        return analysis.filter(F.col(column).isNotNull()).groupBy(column).agg(F.max("is_sale_line").alias("in_sales"))
+
     def distinct_in_sales(column: str) -> Column:
-        return F.countDistinct(F.when(F.col("is_sale_line"), F.col(column)))
+        return distinct(column).agg(F.count_if("in_sales")).scalar()
 
-    return analysis.agg(
+    sums = analysis.agg(
         F.min("invoice_date").cast("date").alias("first_date"),
         F.max("invoice_date").cast("date").alias("last_date"),
         F.count("*").alias("row_count"),
-        F.countDistinct("invoice").alias("invoices"),
-        distinct_in_sales("invoice").alias("sale_invoices"),
-        distinct_in_sales("stock_code").alias("stock_codes"),
-        distinct_in_sales("customer_id").alias("identified_customers"),
-        distinct_in_sales("country").alias("countries"),
         _total(F.col("is_sale_line")).alias("gross_sales"),
         _total(F.col("is_negative_line"), sign=-1).alias("negative_value"),
         _total(F.col("unit_price") > 0).alias("net_transaction_value"),
     )
+    invoices = distinct("invoice").agg(F.struct(F.count("*").alias("n"), F.count_if("in_sales").alias("in_sales"))).scalar()
+    return sums.select(
+        "first_date",
+        "last_date",
+        "row_count",
+        invoices["n"].alias("invoices"),
+        invoices["in_sales"].alias("sale_invoices"),
+        distinct_in_sales("stock_code").alias("stock_codes"),
+        distinct_in_sales("customer_id").alias("identified_customers"),
+        distinct_in_sales("country").alias("countries"),
+        "gross_sales",
+        "negative_value",
+        "net_transaction_value",
+    )
 
 
 def quality_scorecard(ledger: DataFrame) -> DataFrame:
