@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tillflow.operators import upsert
 from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
 from tillflow.plans.catalogue import QUERIES
@@ -37,3 +38,11 @@ def test_overview_expands_no_line(spark):
 def test_overview_of_nothing(spark):
     row = quality.overview(QUERIES["line_flags"](spark, SF_DIR).filter("false")).first()
     assert (row.row_count, row.invoices, row.sale_invoices, row.countries, row.first_date) == (0, 0, 0, 0, None)
+
+
+def test_changes_move_only_what_they_need(spark):
+    held, incoming = (views.landed(spark, SF_DIR, name) for name in ("held_orders", "incoming_orders"))
+    found = upsert.net_changes(held, incoming)
+    assert "customer_id" not in plan(found) and "unhex(" in plan(found)
+    whole = upsert.order_changes(upsert.winning_versions(held, incoming))
+    assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
