@@ -2,20 +2,51 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
+from tillflow import schemas
 from tillflow.operators import upsert
 from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
 from tillflow.plans.catalogue import QUERIES
+from tillflow.session import MAX_PARTITION_BYTES
+from tillflow.sources import tables
 
 SF_DIR = "/root/testdata/sf0.001"
+READ = "spark.sql.files.maxPartitionBytes"
 
 
 def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("asked, expected", [("128MB", MAX_PARTITION_BYTES), ("4MB", 4 << 20)])
+def test_tasks_read_blocks_of_bounded_size(spark, asked, expected):
+    before = spark.conf.get(READ)
+    try:
+        spark.conf.set(READ, asked)
+        views.table(spark, SF_DIR, "orders")
+        assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == expected
+    finally:
+        spark.conf.set(READ, before)
+
+
+@pytest.mark.parametrize("name", ["bronze_orders", "silver_orders"])
+def test_stored_views_are_packed(spark, name):
+    folder = views.landed_path(spark, SF_DIR, name)
+    files = [file for file in tables.child_names(spark, folder) if file.startswith("part-")]
+    assert files and all(f".{tables.CODEC}." in file for file in files)
+
+
+def test_tables_are_packed(spark, root):
+    tables.AppendTable(f"{root}/a", schemas.REFRESH_QUEUE).append(spark.createDataFrame([], schemas.REFRESH_QUEUE))
+    tables.write_counted(spark.range(9), f"{root}/b", n=F.count("*"))
+    for part in ("a", "b"):
+        files = [file for file in tables.child_names(spark, f"{root}/{part}") if file.startswith("part-")]
+        assert files and all(f".{tables.CODEC}." in file for file in files)
+
+
 def test_overlap_is_proved_by_the_rows_inside_it(spark):
     pair = extracts.pair_extracts(views.retail_extracts(spark, SF_DIR))
     whole, inside = extracts.row_ledger(pair), extracts.row_ledger(extracts.inside_overlap(pair))

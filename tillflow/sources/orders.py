@@ -91,5 +91,5 @@ def order_rows(lines: DataFrame) -> tuple[DataFrame, str]:
 def write_batch(lines: DataFrame, folder: str) -> None:
     """Write the order rows of a batch of lines; writing a batch again replaces it."""
     rows, work = order_rows(lines)
-    tables.conform(rows, schemas.BRONZE_ORDERS).write.mode("overwrite").parquet(folder)
+    tables.conform(rows, schemas.BRONZE_ORDERS).write.mode("overwrite").option("compression", tables.CODEC).parquet(folder)
     tables.discard(lines.sparkSession, work)
