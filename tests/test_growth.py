@@ -32,6 +32,16 @@ def test_tasks_read_blocks_of_bounded_size(spark, asked, expected):
         spark.conf.set(READ, before)
 
 
+@pytest.mark.parametrize("view", [views.messy_orders, views.retail_lines])
+def test_lines_move_once_and_narrow(spark, view):
+    text = plan(view(spark, SF_DIR))
+    assert "REBALANCE" not in text.upper()
+    # Customers meet the orders below the join with the lines.
+    assert text.index("l_orderkey") < text.index("o_custkey")
+    below = text[text.index("FileScan parquet [l_orderkey"):]
+    assert "c_custkey" in below and "c_custkey" not in text[: text.index("FileScan parquet [l_orderkey")].split("SortMergeJoin")[0]
+
+
 @pytest.mark.parametrize("name", ["bronze_orders", "silver_orders"])
 def test_stored_views_are_packed(spark, name):
     folder = views.landed_path(spark, SF_DIR, name)

@@ -34,14 +34,18 @@ def _every(column: str, n: int, rest: int = 0) -> Column:
 
 
 def joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the order, customer, nation and region they belong to."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    """Lines with the order, customer, nation and region they belong to.
+
+    Orders meet their customers before they meet the lines, so lines move once at most, and
+    as the few columns that are asked for.
+    """
+    owned = (
+        table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    return table(spark, sf_dir, "lineitem").join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def _order_id() -> Column:
@@ -193,8 +197,7 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_file.alias("_source_file"),
         _ingested_at().alias("_ingested_at"),
     ]
-    # Rebalanced, because nothing evens out the files of a map-only write.
-    return joined_lines(spark, sf_dir).select(*columns).hint("rebalance")
+    return joined_lines(spark, sf_dir).select(*columns)
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +226,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("o_custkey", 4), None).otherwise(F.col("o_custkey")).alias("customer_id"),
         F.when((F.col("n_nationkey") == 3) & (F.col("l_linenumber") == 6), None).otherwise(F.col("n_name")).alias("country"),
         F.explode(F.sequence(F.lit(1), F.when(F.col("l_linenumber") == 7, 2).otherwise(1))).alias("copy"),
-    ).drop("copy").hint("rebalance")
+    ).drop("copy")
 
 
 def held_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
