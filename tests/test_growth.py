@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow import schemas
-from tillflow.operators import upsert
+from tillflow.operators import profile, upsert
 from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
 from tillflow.plans.catalogue import QUERIES
@@ -57,6 +57,14 @@ def test_tables_are_packed(spark, root):
         assert files and all(f".{tables.CODEC}." in file for file in files)
 
 
+def test_distinct_values_are_counted_column_by_column(spark):
+    frame = spark.createDataFrame([("a", None), ("a", "x"), ("b", None)], "k STRING, v STRING")
+    found = frame.agg(F.count("*").alias("n")).select("n", *profile.distinct_counts(frame, ["k", "v"]))
+    assert "Expand" not in plan(found)
+    assert found.collect() == [(3, 2, 1)]
+    assert spark.range(1).select(*profile.distinct_counts(frame.filter("false"), ["k"])).first()[0] == 0
+
+
 def test_overlap_is_proved_by_the_rows_inside_it(spark):
     pair = extracts.pair_extracts(views.retail_extracts(spark, SF_DIR))
     whole, inside = extracts.row_ledger(pair), extracts.row_ledger(extracts.inside_overlap(pair))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -50,3 +50,13 @@ def restatement_check(orders: DataFrame, order_ids: DataFrame) -> DataFrame:
     """The stored version of the given orders, to show which file it came from."""
     columns = ["order_id", "order_date", "quantity", "unit_price", "line_revenue", "_source_file"]
     return orders.join(order_ids.select("order_id"), "order_id", "left_semi").select(*columns)
+
+
+def distinct_counts(frame: DataFrame, columns: list[str]) -> list[Column]:
+    """The number of distinct values of each column, from a grouping of its own.
+
+    Counted beside each other, every row would be expanded into one row for each column.
+    """
+    return [
+        frame.select(name).distinct().agg(F.count(name)).scalar().alias(f"distinct_{name}") for name in columns
+    ]

@@ -231,10 +231,8 @@ def stream_ingest_counts(spark, sf_dir):
     for _ in range(2):
         pipeline.ingest_orders(spark, layout, f"{folder}/inbox/*", pattern="*.csv")
     bronze = pipeline.read_bronze(spark, layout)
-    distinct = [F.countDistinct(name).alias(f"distinct_{name}") for name in schemas.ORDER_FIELDS]
-    return bronze.agg(
-        F.count("*").alias("rows_landed"), F.count("_rescued_data").alias("rows_with_schema_drift"), *distinct
-    )
+    counts = bronze.agg(F.count("*").alias("rows_landed"), F.count("_rescued_data").alias("rows_with_schema_drift"))
+    return counts.select("*", *profile.distinct_counts(bronze, schemas.ORDER_FIELDS))
 
 
 @query
