@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import corpus
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -604,3 +605,25 @@ def test_bundles_of_large_alphabets_stay_small():
         assert found[i].tolist() == plain.tolist()
     few = own.bundles(signs[:5] * 2, np.array([0, 1, 0, 1, 0] * 2), 2)
     assert few[0].tolist() == (2 * (found[0] + found[2] + found[4])).tolist()
+
+
+def test_workers_keep_no_memos_between_tasks(spark, docs):
+    """Workers live on, and what one holds is missing to the stages that follow on its executor."""
+    assert sentencepiece_codec.with_ids(docs, PIECES).count() == len(corpus.rows())
+
+    def held(batches):
+        for _ in batches:
+            memos = [m for c in sentencepiece_codec._codecs.values() for m in (c.known, c.older, c.follows)]
+            yield pa.RecordBatch.from_pydict({"n": [sum(map(len, memos))]}, pa.schema([("n", pa.int64())]))
+
+    found = spark.range(64, numPartitions=64).mapInArrow(held, "n long").collect()
+    assert [row["n"] for row in found] == [0] * 64
+
+
+def test_frequent_digests_are_made_without_python_workers(spark):
+    """Rows that Spark parallelizes from Python objects are unpacked by workers of a second daemon."""
+    docs = spark.createDataFrame([(i, "the same text") for i in range(50)], "doc_id long, text string")
+    for texts, frequent in ((docs, 1), (docs.limit(1), 0)):
+        winners = exact_dedup.heavy_winners(exact_dedup.digests(texts, "doc_id", "text"))
+        assert winners.count() == frequent
+        assert "RDD" not in winners._jdf.queryExecution().optimizedPlan().toString()

@@ -75,14 +75,32 @@ def without_rows(docs: DataFrame, gone: DataFrame, key: str, text: str) -> DataF
     return docs.join(F.broadcast(g) if few else g, same, "left_anti")
 
 
-def arrow_map(frame: DataFrame, work: Callable, schema: str) -> DataFrame:
-    """`work(batch) -> pyarrow.RecordBatch` over every Arrow batch."""
+def tidied(work: Callable, at_end: Callable | None = None) -> Callable:
+    """`work(batches)`, an iterator of Arrow batches, which leaves little behind when a task ends.
+
+    Workers live on and later stages share an executor with them, so Arrow gives back what it
+    holds free, and `at_end` drops what only this operator has a use for.
+    """
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            if at_end:
+                at_end()
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
+def arrow_map(frame: DataFrame, work: Callable, schema: str, at_end: Callable | None = None) -> DataFrame:
+    """`work(batch) -> pyarrow.RecordBatch` over every Arrow batch; `at_end()` as a task ends."""
 
     def run(batches):
         for batch in batches:
             yield work(batch)
 
-    return shipped(frame).mapInArrow(run, schema)
+    return shipped(frame).mapInArrow(tidied(run, at_end), schema)
 
 
 def record_batch(fields: list[tuple[str, pa.DataType, object]]) -> pa.RecordBatch:

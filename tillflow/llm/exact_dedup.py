@@ -9,6 +9,7 @@ shuffle by digest, in which no group holds more than a small share of the rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,8 @@ SKETCH_ITEMS = 4096
 HEAVY_ITEMS = 256
 # Summaries merge inside this many groups first, so that no task merges one for every task.
 MERGE_GROUPS = 64
+# What is known of frequent digests. Made as Arrow in the driver, it asks executors for no Python workers to unpack it.
+WINNERS = pa.schema([("digest", pa.string()), ("keep", pa.int64()), ("size", pa.int64()), ("ties", pa.int64())])
 
 
 def digests(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -40,23 +43,25 @@ def heavy_winners(slim: DataFrame) -> DataFrame:
         .select(F.expr(f"approx_top_k_estimate(s, {HEAVY_ITEMS})").alias("top"))
     )
     named = [item["item"] for row in sketch.collect() for item in (row["top"] or []) if item["count"] > 1]
-    schema = "digest string, keep long, size long, ties long"
     if not named:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame(WINNERS.empty_table())
     counted = {
         row["digest"]: row
         for row in slim.filter(F.col("digest").isin(named)).groupBy("digest")
         .agg(F.max("key").alias("keep"), F.count("*").alias("size")).collect() if row["size"] > 1
     }
     if not counted:
-        return spark.createDataFrame([], schema)
-    best = spark.createDataFrame([(d, r["keep"]) for d, r in counted.items()], "digest string, keep long")
+        return spark.createDataFrame(WINNERS.empty_table())
+    best = [{"digest": d, "keep": r["keep"]} for d, r in counted.items()]
+    best = spark.createDataFrame(pa.Table.from_pylist(best, WINNERS)).select("digest", "keep")
     ties = (
         slim.join(F.broadcast(best), "digest").filter(F.col("key").eqNullSafe(F.col("keep")))
         .groupBy("digest").count().collect()
     )
-    rows = [(t["digest"], counted[t["digest"]]["keep"], counted[t["digest"]]["size"], t["count"]) for t in ties]
-    return spark.createDataFrame(rows, schema)
+    rows = [
+        {"digest": t["digest"], "keep": counted[t["digest"]]["keep"], "size": counted[t["digest"]]["size"], "ties": t["count"]} for t in ties
+    ]
+    return spark.createDataFrame(pa.Table.from_pylist(rows, WINNERS))
 
 
 def decide(rows: DataFrame, winners: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillflow.llm.common import PLACE_BITS, discard, partitions, record_batch, shipped, stored, without_rows
+from tillflow.llm.common import PLACE_BITS, discard, partitions, record_batch, shipped, stored, tidied, without_rows
 from tillflow.sources import scratch
 
 ORDER = 4
@@ -148,7 +148,7 @@ def in_blocks(docs: DataFrame) -> DataFrame:
 
     half = F.xxhash64("text").bitwiseAND(F.lit(1)).alias("half")
     rows = docs.select("key", "text", "trusted", "lang", half, F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    blocks = shipped(rows).mapInArrow(work, "block long, rows binary")
+    blocks = shipped(rows).mapInArrow(tidied(work), "block long, rows binary")
     path, name = scratch.new_dir(docs.sparkSession, "lm-blocks"), f"lm_blocks_{uuid.uuid4().hex}"
     blocks.write.bucketBy(partitions(docs.sparkSession), "block").option("path", path).saveAsTable(name)
     found = docs.sparkSession.table(name)
@@ -206,7 +206,7 @@ def block_grams(blocks: DataFrame) -> DataFrame:
         if texts:
             yield now, texts, np.array(counted)
 
-    return shipped(blocks).select("block", "rows").mapInArrow(work, "block long, hi long, lo long, c0 long, c1 long")
+    return shipped(blocks).select("block", "rows").mapInArrow(tidied(work), "block long, hi long, lo long, c0 long, c1 long")
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:

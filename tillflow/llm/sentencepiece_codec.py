@@ -27,7 +27,7 @@ from tillflow.llm.common import arrow_map, record_batch
 
 # Fixed value: the sign that stands for a space.
 SPACE = "▁"
-# Bounds of a worker's memos: chunks in each of two generations, pairs.
+# Bounds of a task's memos: chunks in each of two generations, pairs.
 CHUNKS_KEPT, PAIRS_KEPT = 250_000, 400_000
 # A longer chunk is unlikely to come again and is not kept.
 LONGEST_KEPT = 64
@@ -190,6 +190,11 @@ class Codec:
             self.older, self.known = known, {}
         return ids
 
+    def forget(self) -> None:
+        """Empty the memos."""
+        self.known, self.older = {}, {}
+        self.follows.clear()
+
     def decode(self, ids: list[int]) -> str:
         raw = self.decoded
         if not self.silent.isdisjoint(ids):  # a control id ends a run of bytes
@@ -231,7 +236,7 @@ def encode_decode(docs: DataFrame, model: str, key: str = "doc_id", text: str =
             ("decoded", pa.string(), [own.decode(i) for i in ids]),
         ])
 
-    return arrow_map(docs.select(F.col(key).cast("long"), F.col(text)), work, "key long, ids array<int>, decoded string")
+    return arrow_map(docs.select(F.col(key).cast("long"), F.col(text)), work, "key long, ids array<int>, decoded string", lambda: codec(model).forget())
 
 
 def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,7 +259,7 @@ def round_trip(docs: DataFrame, model: str, key: str = "doc_id", text: str = "te
         ])
 
     schema = "key long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow_map(docs.select(F.col(key).cast("long"), F.col(text)), work, schema)
+    return arrow_map(docs.select(F.col(key).cast("long"), F.col(text)), work, schema, lambda: codec(model).forget())
 
 
 def with_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -272,4 +277,4 @@ def with_ids(docs: DataFrame, model: str, text: str = "text", ids: str = "ids")
         columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
         return pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.int32()))], names=[*batch.schema.names, ids])
 
-    return arrow_map(docs, work, schema)
+    return arrow_map(docs, work, schema, lambda: codec(model).forget())
