@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow import schemas
-from tillflow.operators import profile, upsert
+from tillflow.operators import profile, upsert, versions
 from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
 from tillflow.plans.catalogue import QUERIES
+from tillflow.plans.pipeline import Layout
 from tillflow.session import MAX_PARTITION_BYTES
 from tillflow.sources import tables
 
@@ -95,3 +96,27 @@ def test_changes_move_only_what_they_need(spark):
     assert "customer_id" not in plan(found) and "unhex(" in plan(found)
     whole = upsert.order_changes(upsert.winning_versions(held, incoming))
     assert found.exceptAll(whole).isEmpty() and whole.exceptAll(found).isEmpty()
+
+
+def test_held_and_incoming_orders_meet_where_they_lie(spark):
+    held, incoming = (views.landed(spark, SF_DIR, name) for name in ("held_orders", "incoming_orders"))
+    assert "Exchange" not in plan(upsert.upsert_orders(held, incoming))
+    assert "Exchange" not in plan(upsert.net_changes(held.hint("merge"), incoming.hint("merge")))
+
+
+def test_slices_of_a_year_are_written_where_rows_are(spark, root):
+    orders = views.landed(spark, SF_DIR, "incoming_orders").repartition(4)
+    for unit, files in (("year", 4), ("month", 1)):
+        layout = Layout(f"{root}/{unit}", slice_unit=unit)
+        layout.orders.stage(layout.silver.with_slice(orders), "w")
+        slices = [n for n in tables.child_names(spark, f"{layout.orders._data}/_folder=w") if n.startswith("_slice=1995-01-01")]
+        names = tables.child_names(spark, f"{layout.orders._data}/_folder=w/{slices[0]}")
+        assert sum(n.endswith(".parquet") for n in names) == files
+        assert layout.orders.staged(spark, "w").count() == orders.count()
+
+
+def test_versions_move_their_hashes_as_bytes(spark):
+    newest = versions.latest_version(views.sales_lines(spark, SF_DIR))
+    text = plan(newest)
+    assert "unhex(" in text[text.index("Exchange hashpartitioning(order_id"):]
+    assert newest.filter("_record_hash rlike '^[0-9a-f]{64}$'").count() == newest.count()
