@@ -120,3 +120,16 @@ def test_versions_move_their_hashes_as_bytes(spark):
     text = plan(newest)
     assert "unhex(" in text[text.index("Exchange hashpartitioning(order_id"):]
     assert newest.filter("_record_hash rlike '^[0-9a-f]{64}$'").count() == newest.count()
+
+
+def test_versions_of_a_batch_meet_where_they_lie(spark, root):
+    latest = versions.latest_version(views.sales_lines(spark, SF_DIR))
+    found = {}
+    for part, rows in (("held", latest.filter("quantity < 20")), ("latest", latest)):
+        counted = tables.write_buckets(rows, f"{root}/{part}", "order_id", n=F.count("*"))
+        found[part] = tables.read_buckets(spark, f"{root}/{part}")
+        assert counted["n"] == found[part].count() == spark.read.parquet(f"{root}/{part}").count()
+    winners = upsert.winning_versions(found["held"].hint("merge"), found["latest"])
+    assert "Exchange" not in plan(winners)
+    tables.forget_buckets(spark, f"{root}/held", f"{root}/latest")
+    assert spark.read.parquet(f"{root}/latest").count() == latest.count()
