@@ -6,13 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillflow import schemas
-from tillflow.operators import profile, upsert, versions
+from tillflow.functions import parsing
+from tillflow.operators import classify, profile, upsert, versions
 from tillflow.operators.retail import extracts, quality
 from tillflow.plans import views
 from tillflow.plans.catalogue import QUERIES
 from tillflow.plans.pipeline import Layout
 from tillflow.session import MAX_PARTITION_BYTES
 from tillflow.sources import tables
+from tillflow.streaming.silver import SilverBatch, run_silver
 
 SF_DIR = "/root/testdata/sf0.001"
 READ = "spark.sql.files.maxPartitionBytes"
@@ -133,3 +135,76 @@ def test_versions_of_a_batch_meet_where_they_lie(spark, root):
     assert "Exchange" not in plan(winners)
     tables.forget_buckets(spark, f"{root}/held", f"{root}/latest")
     assert spark.read.parquet(f"{root}/latest").count() == latest.count()
+
+
+def _bronze(spark, root, rows):
+    names = [*schemas.ORDER_FIELDS, "_source_file"]
+    frame = spark.createDataFrame(rows, ", ".join(f"{name} STRING" for name in names))
+    frame = frame.withColumns({"_rescued_data": F.lit(None).cast("string"), "_ingested_at": F.lit("2024-02-01").cast("timestamp")})
+    frame.select(*schemas.BRONZE_ORDERS.names).coalesce(1).write.mode("append").parquet(f"{root}/bronze")
+    return f"{root}/bronze"
+
+
+def test_rejects_lie_in_slices_and_are_known_again_without_a_date_in_their_file(spark, root):
+    files = [f"orders_202{year}-0{month}-03.csv" for year in (3, 4) for month in range(1, 7)] + ["orders_resend.csv"]
+    rows = [(f"O{n}", "never", "C", "P", "1", "2.00", "west", name) for n, name in enumerate(files)]
+    bronze = _bronze(spark, root, rows + [("O99", "2024-01-02", "C", "P", "1", "2.00", "west", files[0])])
+    for unit, folders in (("year", 3), (None, 13)):
+        layout = Layout(f"{root}/{unit}", slice_unit=unit)
+        for rebuild in (False, True):
+            run_silver(spark, bronze, layout.silver, layout.checkpoint("silver"), "t", rebuild=rebuild)
+        held = layout.quarantine.read(spark)
+        assert held.count() == 13 and {row[0] for row in held.select("_source_file").collect()} == set(files)
+        part = f"{layout.quarantine.path}/_part=silver-0-0"
+        assert sum(name.startswith("_batch_date=") for name in tables.child_names(spark, part)) == folders
+        assert layout.orders.read(spark).count() == 1
+
+
+def test_rejects_that_lie_by_day_are_known_to_slices_of_a_year(spark, root):
+    rows = [("O1", "never", "C", "P", "1", "2.00", "west", name) for name in ("orders_2024-05-03.csv", "orders_resend.csv")]
+    bronze, layout = _bronze(spark, root, rows), Layout(f"{root}/t", slice_unit="year")
+    old = classify.rejected_rows(classify.classify(spark.read.parquet(bronze))).withColumns({
+        "_quarantined_at": F.current_timestamp(), "_batch_date": parsing.file_date(F.col("_source_file")),
+    })
+    layout.quarantine.put(old, "silver-old")
+    run_silver(spark, bronze, layout.silver, layout.checkpoint("silver"), "t")
+    assert layout.quarantine.read(spark).count() == 2
+
+
+def test_new_rows_are_told_by_hashes_before_whole_keys(spark):
+    source = spark.range(50).selectExpr("nullif(id % 7, 0) a", "cast(id % 3 as string) b", "id")
+    held = source.filter("id % 2 = 0").unionByName(source.filter("id % 2 = 0"))
+    new = upsert.insert_new(held.hint("merge"), source.hint("merge"), ["a", "b"])
+    text = plan(new)
+    assert "Sort [xxhash64(a" in text
+    keys = {(r.a, r.b) for r in held.collect()}
+    assert sorted(r.id for r in new.collect()) == sorted(r.id for r in source.collect() if (r.a, r.b) not in keys)
+    assert upsert.insert_new(source, source.unionByName(source), ["a", "b"]).isEmpty()
+
+
+def test_only_what_decides_an_upsert_moves_and_the_index_meets_its_batch_in_buckets(spark, root):
+    latest = versions.latest_version(views.sales_lines(spark, SF_DIR))
+    near = upsert.deciding(latest.filter("quantity < 20"))
+    assert "_record_hash" in near.columns and not {"customer_id", "unit_price"} & set(near.columns)
+    layout = Layout(f"{root}/t", slice_unit="year")
+    slices = layout.silver.with_slice(latest).select("order_id", "_slice")
+    known = slices.filter("order_id like '%1'").unionByName(slices.limit(50).withColumn("_slice", F.lit(None).cast("date")))
+    parts = {"latest": latest, "known": known.distinct(), "ids": latest.select("order_id", (F.col("quantity") < 30).alias("valid"))}
+    for name, frame in parts.items():
+        tables.write_buckets(frame, f"{root}/{name}", "order_id")
+        parts[name] = tables.read_buckets(spark, f"{root}/{name}")
+    found = SilverBatch(layout.silver, root, "t", "t")._new_entries(parts["ids"].hint("merge"), parts["known"].hint("merge"), parts["latest"].hint("merge"))
+    assert "Exchange" not in plan(found) and "Sort [" not in plan(found)
+    wanted = slices.unionByName(parts["ids"].filter("NOT valid").select("order_id", F.lit(None).cast("date").alias("_slice")))
+    plain = wanted.alias("n").join(known.distinct().alias("k"), F.expr("n.order_id = k.order_id AND n._slice <=> k._slice"), "left_anti")
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty() and not found.isEmpty()
+    path = f"{root}/ids"
+    tables.forget_buckets(spark, path)
+    assert tables.read_buckets(spark, path, "order_id STRING, valid BOOLEAN").count() == latest.count()
+
+
+def test_whole_numbers_cost_no_failed_cast(spark):
+    texts = ["7", " -7 ", "+7", "\t7\t", "2.0", "", "x", "7x", "--7", "7 7", "2147483648", None]
+    frame = spark.createDataFrame([(text,) for text in texts], "t STRING")
+    same = frame.select(parsing.quantity(F.col("t")).eqNullSafe(F.trim("t").try_cast("int")).alias("same"))
+    assert same.filter("NOT same").isEmpty()
